@@ -149,17 +149,14 @@ def toppings() -> Column:
     return F.array_except(F.array("l_returnflag", "l_linestatus"), F.array(F.lit("N"), F.lit("O")))
 
 
-def items(spark: SparkSession, sf: str) -> DataFrame:
-    """Order lines with their buyer and item."""
-    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+def bare_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines with their item."""
     parts = load(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice")
     return (
         load(spark, sf, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
         .select(
             F.col("l_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
             F.col("l_partkey").alias("item_id"),
             F.col("p_name").alias("item_name"),
             F.col("l_quantity").cast("int").alias("quantity"),
@@ -170,6 +167,14 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def items(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines with their item and buyer."""
+    buyers = load(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id")
+    )
+    return bare_items(spark, sf).join(buyers, "order_id", "left")
+
+
 def kitchen(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines as kitchen runs: cooked by the supplier, from order to shipping."""
     orders = load(spark, sf, "orders").select("o_orderkey", "o_orderdate")

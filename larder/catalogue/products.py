@@ -87,7 +87,7 @@ def fact_sales_items(spark, sf):
 def flagship(spark, sf):
     tables = {
         "fact_sales": base.sales(spark, sf),
-        "fact_sales_items": base.items(spark, sf),
+        "fact_sales_items": base.bare_items(spark, sf),
         "dim_customer": base.customers(spark, sf),
         "dim_outlet": base.outlets(spark, sf),
         "fact_kitchen": base.kitchen(spark, sf),

@@ -37,7 +37,7 @@ def calendar_parts(ts: Column | str, **names: str) -> dict[str, Column]:
 
 
 def _weekday_lookup(ts: Column, names: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), F.dayofweek(ts))
+    return F.get(F.array(*[F.lit(n) for n in names]), F.dayofweek(ts) - 1)
 
 
 def day_name(ts: Column) -> Column:

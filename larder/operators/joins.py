@@ -36,24 +36,21 @@ def join_back(
 ) -> DataFrame:
     """``rows`` left join ``per_key`` where single keys may own a large share of ``rows``.
 
-    ``per_key`` is an aggregate of the rows, with ``weight`` the row count of a key. Its
-    ``hot_keys`` heaviest keys are broadcast, a fixed number of narrow rows, whatever the data size.
+    ``per_key`` is an aggregate of the rows, one row per key, and ``weight`` its row count. The
+    ``hot_keys`` heaviest keys are broadcast: a fixed number of narrow rows, whatever the data size.
     Rows with such a key, or none, need no partner from the shuffle and are spread over it by a
     hash of ``spread_by``; only the rest meets on the key. No row is moved twice and none is dropped.
     """
     payload = [c for c in per_key.columns if c != on]
     per_key = per_key.filter(F.col(on).isNotNull())
-    heaviest = per_key.groupBy(on).agg(F.max(weight).alias("_weight"))
-    heaviest = heaviest.orderBy(F.desc("_weight"), on).limit(hot_keys).select(F.col(on).alias("_hot_key"))
-    hot = per_key.join(F.broadcast(heaviest), F.col(on) == F.col("_hot_key"), "inner").select(
-        "_hot_key", F.struct(*payload).alias("_hot")
-    )
-    slot = F.pmod(F.xxhash64(*spread_by), F.lit(spread)).cast("int")
+    heaviest = per_key.orderBy(F.desc(weight), on).limit(hot_keys)
+    hot = heaviest.select(F.col(on).alias("_hot_key"), F.struct(*payload).alias("_hot"))
+    slot = F.pmod(F.xxhash64(*spread_by), F.lit(spread)) + 1
     marked = rows.join(F.broadcast(hot), F.col(on) == F.col("_hot_key"), "left").withColumn(
-        "_slot", F.when(F.col("_hot_key").isNotNull() | F.col(on).isNull(), slot + 1).otherwise(0)
+        "_slot", F.when(F.col("_hot_key").isNotNull() | F.col(on).isNull(), slot).otherwise(F.lit(0))
     )
     # Always 0, but computed from the key, so that the optimizer keeps the slot among the join keys.
-    home = F.pmod(F.xxhash64(on), F.lit(1)).cast("int")
+    home = F.xxhash64(on).bitwiseAND(F.lit(0))
     cold = per_key.select(F.col(on).alias("_key"), home.alias("_home"), F.struct(*payload).alias("_cold"))
     joined = marked.join(cold, (F.col(on) == F.col("_key")) & (F.col("_slot") == F.col("_home")), "left")
     found = F.coalesce("_hot", "_cold")
