@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from larder.catalogue.base import load, query, scratch
+from larder.catalogue.base import SCHEMAS, load, query, scratch
 from larder.catalogue.products import SQL_MENU_LINES, menu_orders
 from larder.functions.menu import LINE_SCHEMA, parse_lines
 from larder.operators.upsert import upsert
@@ -17,10 +17,6 @@ from larder.sources.files import scan
 from larder.streaming.incremental import change_window, high_water_mark
 
 ORDERS = "SELECT * FROM orders"
-ORDERS_SCHEMA = (
-    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz,"
-    " o_orderpriority string"
-)
 
 
 @query("scan_parquet", "SELECT p_partkey, p_name, p_retailprice FROM part")
@@ -32,7 +28,7 @@ def scan_parquet(spark, sf):
 def scan_csv(spark, sf):
     folder = f"{scratch(spark)}/orders.csv"
     load(spark, sf, "orders").write.option("header", True).csv(folder)
-    return scan(spark, "csv", folder, ORDERS_SCHEMA)
+    return scan(spark, "csv", folder, SCHEMAS["orders"])
 
 
 @query("scan_csv_dated", "SELECT event_id, ts, value FROM events")
@@ -53,7 +49,7 @@ def scan_csv_dated(spark, sf):
 def scan_json(spark, sf):
     folder = f"{scratch(spark)}/orders.json"
     load(spark, sf, "orders").write.json(folder)
-    return scan(spark, "json", folder, ORDERS_SCHEMA, multiLine=False)
+    return scan(spark, "json", folder, SCHEMAS["orders"], multiLine=False)
 
 
 @query("ingest_json", SQL_MENU_LINES)

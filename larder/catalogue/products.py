@@ -21,6 +21,7 @@ from larder.catalogue.base import (
 from larder.functions.menu import lines_to_json
 from larder.plans.facts import kitchen_enriched, sales_enriched, sales_items, stock_enriched
 from larder.plans.outlets import MODE_COUNTS, PERCENTAGES, TYPE_COUNTS, outlet_performance
+from larder.sources.files import spread
 from larder.plans.people import chef_performance, customer_preference, customer_profile
 
 YEAR_SECONDS = 365 * 86400
@@ -50,7 +51,7 @@ def menu_orders(spark, sf):
     second = line(F.col("l_quantity").cast("int") - first, plain)
     lines = F.when(first > 0, F.array(line(first, base.toppings()), second)).otherwise(F.array(second))
     return (
-        load(spark, sf, "lineitem")
+        spread(load(spark, sf, "lineitem"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .select(
             F.col("l_orderkey").alias("order_id"),

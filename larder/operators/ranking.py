@@ -39,7 +39,12 @@ def top_per_group(
 
 
 def page(df: DataFrame, order: Sequence[Column | str], number: int, size: int) -> DataFrame:
-    """Rows ``[number * size, (number + 1) * size)`` in the given order."""
+    """Rows ``[number * size, (number + 1) * size)`` in the given order.
+
+    Every task keeps only the rows up to the end of the page. Pages that start many millions of rows
+    in are cheaper with ``spark.sql.execution.topKSortFallbackThreshold`` set below that, which makes
+    Spark sort in ranges instead.
+    """
     return df.orderBy(*order).offset(number * size).limit(size)
 
 

@@ -17,9 +17,10 @@ def upsert(
     ``update``; a change without a partner is inserted as a whole; other target rows stay. Null
     keys never match. Two changes for one target row fail the job.
 
-    The target is only ever the streamed side of a left join, so a small change set is broadcast by
-    Spark and the target not shuffled, while a large one gets a sort-merge join in which hot target
-    keys are split at run time. A full outer join would allow neither.
+    The target is only ever the streamed side of a left join, so Spark broadcasts a change set under
+    its size threshold and does not shuffle the target at all; a larger one meets it in a sort-merge
+    join on the key, one row per key on the change side. Known keys are found from the key columns.
+    ``changes`` is read several times: hand in a written table, not a plan that gives new rows each time.
     """
     missing = [c for c in [*changes.columns, *keys] if c not in target.columns]
     missing += [c for c in [*(update or []), *keys] if c not in changes.columns]

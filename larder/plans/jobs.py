@@ -75,7 +75,10 @@ def load_raw(target: Lake, name: str, fetch: Fetch, loadtype: str = "full", unti
         source = change_window(source, spec.change_column, mark, F.current_timestamp() if until is None else until)
     elif name not in DIMENSIONS:
         loadtype = "full"
-    cleaned = clean_table(source, spec.rules)
+    # Of rows with one key the latest stays, then the first by its other columns, so a rerun repeats it.
+    latest = [F.desc(spec.change_column)] if spec.change_column else []
+    others = [c for c in source.columns if c not in spec.rules.unique_by and c != spec.change_column]
+    cleaned = clean_table(source, spec.rules, prefer=[*latest, *others])
     log.info("loading %s, %s", name, loadtype)
     return store(target, name, cleaned, loadtype)
 
@@ -83,13 +86,17 @@ def load_raw(target: Lake, name: str, fetch: Fetch, loadtype: str = "full", unti
 def load_dimensions(
     target: Lake, fetch: Fetch, loadtype: str = "full", names: Iterable[str] = DIMENSIONS, at_once: int = 3
 ) -> dict[str, lake.Version]:
-    """Load dimensions side by side as independent Spark jobs.
+    """Load dimensions side by side as independent Spark jobs, each in a scheduler pool of its own.
 
     A failing table does not stop the others; all failures are raised together at the end.
     """
-    names = list(names)
+
+    def load(name: str) -> lake.Version:
+        target.spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        return load_raw(target, name, fetch, loadtype)
+
     with ThreadPoolExecutor(max_workers=at_once) as pool:
-        running = {n: pool.submit(load_raw, target, n, fetch, loadtype) for n in names}
+        running = {n: pool.submit(load, n) for n in names}
     failures = [(n, f.exception()) for n, f in running.items() if f.exception()]
     if failures:
         raise ExceptionGroup("dimension load failed: " + ", ".join(n for n, _ in failures), [e for _, e in failures])

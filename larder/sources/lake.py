@@ -2,8 +2,9 @@
 
 A table lives under ``<root>/<layer folder>/<table>/``::
 
-    current/base=<b>/v=<n>/    versions; the table is all versions of its highest base
-    delta/<YYYY-MM-DD>/        the batch staged on that day
+    current/base=<b>/v=<n>/              versions; the table is all versions of its highest base
+    delta/<YYYY-MM-DD>/<table>.parquet   the batch staged on that day
+    current/<table>.delta                the same table in Delta format, where a lake has that instead
 
 An overwrite, merge, restore or compaction writes the whole table as the first version of a new
 base; an append adds only its batch. A version counts once Spark has put its ``_SUCCESS`` marker, so
@@ -23,7 +24,12 @@ from larder.sources.files import scan
 from larder.tables import TABLES
 
 # Folder of each layer, and of non-production runs.
-LAYER_FOLDERS = {"raw": "Raw", "input": "Input", "enrich": "Enrich", "system": "System"}
+LAYER_FOLDERS = {
+    "raw": "Raw",
+    "input": "Input/Borough",
+    "enrich": "Enrich/Enriched",
+    "system": "System/BalancingResults",
+}
 SANDBOX = "Sandbox"
 LANDING = "DataSource"
 
@@ -32,6 +38,11 @@ def today() -> str:
     return date.today().isoformat()
 
 
+def area(root: str, runtype: str = "prod") -> str:
+    """Where a run keeps its data: the root, or its sandbox for trial runs."""
+    return f"{root.rstrip('/')}/{SANDBOX}" if runtype == "dev" else root.rstrip("/")
+
+
 @dataclass(frozen=True)
 class Version:
     base: int
@@ -55,13 +66,16 @@ class LakeTable:
 
     @property
     def folder(self) -> str:
-        area = f"/{SANDBOX}" if self.runtype == "dev" else ""
-        return f"{self.root.rstrip('/')}{area}/{LAYER_FOLDERS[self.layer]}/{self.name}"
+        return f"{area(self.root, self.runtype)}/{LAYER_FOLDERS[self.layer]}/{self.name}"
 
     @property
     def current(self) -> str:
         return f"{self.folder}/current"
 
+    @property
+    def delta_path(self) -> str:
+        return f"{self.current}/{self.name}.delta"
+
     def staged(self, day: str | None = None) -> str:
         return f"{self.folder}/delta/{day or today()}/{self.name}.parquet"
 
@@ -71,9 +85,13 @@ class LakeTable:
 
 def landing_path(root: str, name: str, loadtype: str, day: str | None = None, runtype: str = "prod") -> str:
     """Dropped CSV files: all days for a full load, else one day."""
-    area = f"/{SANDBOX}" if runtype == "dev" else ""
     folder = "*" if loadtype == "full" else day or today()
-    return f"{root.rstrip('/')}{area}/{LANDING}/{folder}/{name}.csv"
+    return f"{area(root, runtype)}/{LANDING}/{folder}/{name}.csv"
+
+
+def input_path(root: str, file_name: str, runtype: str = "prod") -> str:
+    """A file handed in as it is, such as a GeoJSON document."""
+    return f"{area(root, runtype)}/{LAYER_FOLDERS['input']}/{file_name}"
 
 
 def read_landing(spark: SparkSession, root: str, name: str, loadtype: str, day: str | None = None, schema=None):
@@ -127,9 +145,14 @@ def read(spark: SparkSession, table: LakeTable, number: int | None = None) -> Da
     return _scan_versions(spark, table, chosen).drop("base", "v")
 
 
-def read_tables(spark: SparkSession, root: str, names, runtype: str = "prod") -> dict[str, DataFrame]:
-    """Named current tables as a dictionary of lazy DataFrames."""
-    return {n: read(spark, lake_table(root, n, runtype)) for n in names}
+def read_tables(
+    spark: SparkSession, root: str, names, runtype: str = "prod", kind: str = "parquet"
+) -> dict[str, DataFrame]:
+    """Named current tables as a dictionary of lazy DataFrames, from either table format."""
+    found = {n: lake_table(root, n, runtype) for n in names}
+    if kind == "delta":
+        return {n: scan(spark, "delta", t.delta_path) for n, t in found.items()}
+    return {n: read(spark, t) for n, t in found.items()}
 
 
 def commit(spark: SparkSession, table: LakeTable, df: DataFrame, mode: str = "overwrite") -> Version:

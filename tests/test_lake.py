@@ -136,7 +136,9 @@ def test_paths():
     t = lake.lake_table("/lake/", "fact_sales")
     assert t.current == "/lake/Raw/fact_sales/current"
     assert t.staged("2025-11-10") == "/lake/Raw/fact_sales/delta/2025-11-10/fact_sales.parquet"
-    assert lake.lake_table("/lake", "customer", "dev").current == "/lake/Sandbox/Enrich/customer/current"
+    assert lake.lake_table("/lake", "customer", "dev").current == "/lake/Sandbox/Enrich/Enriched/customer/current"
+    assert t.delta_path == "/lake/Raw/fact_sales/current/fact_sales.delta"
+    assert lake.input_path("/lake", "areas.geojson") == "/lake/Input/Borough/areas.geojson"
     assert lake.landing_path("/lake", "dim_item", "full") == "/lake/DataSource/*/dim_item.csv"
     assert lake.landing_path("/lake", "dim_item", "delta", "2025-11-10") == "/lake/DataSource/2025-11-10/dim_item.csv"
     assert lake.landing_path("/lake", "dim_item", "delta").split("/")[3] == lake.today()
@@ -307,6 +309,14 @@ def test_delta_load_of_a_dimension_merges_and_of_stock_replaces(spark, tmp_path)
     assert target.read("fact_stock").count() == 1
 
 
+def test_repeated_keys_keep_the_latest_change(spark, tmp_path):
+    target, data = jobs.Lake(spark, str(tmp_path)), build(orders=3)
+    early, late = (dict(data["fact_sales"][0], order_ts=datetime(2025, 11, d)) for d in (10, 12))
+    fetch = source_of(spark, {**data, "fact_sales": [early, late, early]})
+    jobs.load_raw(target, "fact_sales", fetch)
+    assert [r.order_ts for r in target.read("fact_sales").collect()] == [datetime(2025, 11, 12)]
+
+
 def test_failing_dimension_does_not_stop_the_others(spark, tmp_path):
     target, fetch = jobs.Lake(spark, str(tmp_path)), source_of(spark, build(orders=2))
 
