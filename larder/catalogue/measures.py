@@ -41,6 +41,7 @@ from larder.operators.rollups import (
     orders_per_customer,
     quantity_per_order,
     slot_measures,
+    slot_prices,
 )
 from larder.plans.outlets import PERCENTAGES, order_counts, percentages
 
@@ -151,10 +152,10 @@ def agg_profile(spark, sf):
     today = F.lit("2024-02-15").cast("date")
     return base.visits(spark, sf).groupBy("customer_id").agg(
         F.count("order_id").alias("orders"),
-        rounded_mean(price).alias("mean_price"),
+        rounded_mean("total_order_price").alias("mean_price"),
         F.max(price).alias("highest"),
         F.min(price).alias("lowest"),
-        exact_sum(price).alias("spent"),
+        exact_sum("total_order_price").alias("spent"),
         days_between(F.min(ts), F.max(ts)).alias("days_as_customer"),
         days_between(F.max(ts), today).alias("days_since"),
     )
@@ -306,8 +307,9 @@ def agg_filtered(spark, sf):
 
 @query("agg_slots", with_roles(f" SELECT outlet_id, {sql_slots()} FROM visits GROUP BY outlet_id", visits=SQL_VISITS))
 def agg_slots(spark, sf):
-    slots = slot_measures(F.hour("order_ts"), F.col("total_order_price"))
-    return base.visits(spark, sf).groupBy("outlet_id").agg(*named(slots))
+    hour = F.hour("order_ts")
+    visits = base.visits(spark, sf).withColumns(slot_prices(hour, F.col("total_order_price")))
+    return visits.groupBy("outlet_id").agg(*named(slot_measures(hour)))
 
 
 # --- joins ---------------------------------------------------------------------------------------

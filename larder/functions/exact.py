@@ -11,51 +11,49 @@ Values that the split cannot hold (NaN, infinities, magnitudes from 1e12) are ad
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SPLIT_LIMIT = 1e12
-_MILLIONTH = Decimal("0.000001")
 
+def _value(name: str) -> str:
+    return "CAST(`" + name.replace("`", "``") + "` AS DOUBLE)"
+
+
+def _fits(name: str) -> str:
+    return f"abs({_value(name)}) < 1e12D"
 
-def _column(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
 
+def _exact_total(name: str) -> str:
+    units = f"CAST(CASE WHEN {_fits(name)} THEN {_value(name)} END AS BIGINT)"
+    millionths = f"CAST(rint(({_value(name)} - {units}) * 1e6D) AS BIGINT)"
+    whole, part = f"CAST(sum({units}) AS DECIMAL(27,6))", f"CAST(sum({millionths}) AS DECIMAL(20,0))"
+    return f"CAST({whole} + {part} * 0.000001BD AS DECIMAL(27,6))"
 
-def _fits(value: Column) -> Column:
-    return F.abs(value) < F.lit(_SPLIT_LIMIT)
 
+def _outlying_total(name: str) -> str:
+    return f"sum(CASE WHEN NOT ({_fits(name)}) THEN {_value(name)} END)"
 
-def _exact_total(value: Column) -> Column:
-    units = F.when(_fits(value), value).cast("bigint")
-    millionths = F.rint((value - units) * F.lit(1e6)).cast("bigint")
-    whole = F.sum(units).cast("decimal(27,6)")
-    part = F.sum(millionths).cast("decimal(20,0)") * F.lit(_MILLIONTH)
-    return (whole + part).cast("decimal(27,6)")
 
+def _total(name: str) -> str:
+    exact, outlying = f"CAST({_exact_total(name)} AS DOUBLE)", _outlying_total(name)
+    return f"CASE WHEN {outlying} IS NULL THEN {exact} ELSE coalesce({exact}, 0D) + {outlying} END"
 
-def _outlying_total(value: Column) -> Column:
-    return F.sum(F.when(~_fits(value), value))
 
+def exact_sum(name: str) -> Column:
+    """Aggregate: order-independent sum of a numeric column, as double (null for no values)."""
+    return F.expr(_total(name))
 
-def exact_sum(value: Column | str) -> Column:
-    """Aggregate: order-independent sum of a double column, as double (null for no values)."""
-    value = _column(value).cast("double")
-    total, outlying = _exact_total(value).cast("double"), _outlying_total(value)
-    return F.when(outlying.isNull(), total).otherwise(F.coalesce(total, F.lit(0.0)) + outlying)
 
+def rounded_ratio(name: str, count: str, digits: int = 2) -> Column:
+    """Aggregate: ``round(sum(name) / count, digits)``, half up, for an aggregate ``count`` in SQL.
 
-def rounded_ratio(value: Column | str, count: Column, digits: int = 2) -> Column:
-    """Aggregate: ``round(sum(value) / count, digits)``, half up; null when the count is zero."""
-    value = _column(value).cast("double")
-    count = F.nullif(count, F.lit(0))
-    exact = F.round(_exact_total(value) / count, digits).cast("double")
-    inexact = F.round(exact_sum(value) / count, digits)
-    return F.when(_outlying_total(value).isNull(), exact).otherwise(inexact)
+    Null when the count is zero.
+    """
+    exact = f"CAST(round({_exact_total(name)} / nullif({count}, 0), {digits}) AS DOUBLE)"
+    inexact = f"round({_total(name)} / nullif({count}, 0), {digits})"
+    return F.expr(f"CASE WHEN {_outlying_total(name)} IS NULL THEN {exact} ELSE {inexact} END")
 
 
-def rounded_mean(value: Column | str, digits: int = 2) -> Column:
-    """Aggregate: ``round(avg(value), digits)`` free of summation noise."""
-    return rounded_ratio(value, F.count(_column(value)), digits)
+def rounded_mean(name: str, digits: int = 2) -> Column:
+    """Aggregate: ``round(avg(name), digits)`` free of summation noise."""
+    return rounded_ratio(name, f"count(`{name}`)", digits)

@@ -73,13 +73,15 @@ def chef_workload(kitchen: DataFrame, peak_hours=rules.SERVICE_PEAK_HOURS) -> Da
     )
 
 
-def slot_measures(hour: Column, price: Column) -> dict[str, Column]:
-    """Conditional sales and order counts of the four day slots, as aggregates."""
-    sales = {
-        f"{s}_sales": exact_sum(F.when(rules.in_slot(hour, s), price).otherwise(F.lit(0.0))) for s in rules.DAY_SLOTS
-    }
-    orders = {f"{s}_orders": F.count_if(rules.in_slot(hour, s)) for s in rules.DAY_SLOTS}
-    return {**sales, **orders}
+def slot_prices(hour: Column, price: Column) -> dict[str, Column]:
+    """The price in the column of its day slot, zero in those of the other slots."""
+    return {f"{s}_sales": F.when(rules.in_slot(hour, s), price).otherwise(F.lit(0.0)) for s in rules.DAY_SLOTS}
+
+
+def slot_measures(hour: Column) -> dict[str, Column]:
+    """Sales and order counts of the day slots, as aggregates over ``slot_prices``."""
+    sales = {f"{s}_sales": exact_sum(f"{s}_sales") for s in rules.DAY_SLOTS}
+    return {**sales, **{f"{s}_orders": F.count_if(rules.in_slot(hour, s)) for s in rules.DAY_SLOTS}}
 
 
 def named(aggregates: dict[str, Column]) -> list[Column]:

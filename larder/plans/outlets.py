@@ -9,7 +9,7 @@ from larder.functions import rules
 from larder.functions.exact import exact_sum, rounded_mean, rounded_ratio
 from larder.functions.times import parse_timestamps, seconds_between
 from larder.operators.clean import stamp
-from larder.operators.rollups import named, slot_measures
+from larder.operators.rollups import named, slot_measures, slot_prices
 
 Tables = dict[str, DataFrame]
 
@@ -66,24 +66,31 @@ def outlet_performance(
     served = sales.join(kitchen.filter(F.col("outlet_id").isNotNull()), "order_id", "inner")
 
     price, hour = F.col("total_order_price"), F.hour("order_ts")
-    peak = rules.is_peak(hour, peak_hours)
-    seconds = seconds_between("cooking_start", "cooking_end")
+    served = served.withColumns(
+        {
+            "order_date": F.to_date("order_ts"),
+            "is_peak_hour": rules.is_peak(hour, peak_hours),
+            "peak_price": F.when(rules.is_peak(hour, peak_hours), price),
+            "cook_seconds": seconds_between("cooking_start", "cooking_end"),
+            **slot_prices(hour, price),
+        }
+    )
     counts = order_counts(type_counts, mode_counts)
-    slots = slot_measures(hour, price)
-    daily = served.groupBy("outlet_id", F.to_date("order_ts").alias("order_date")).agg(
-        exact_sum(price).alias("sales"),
+    slots = slot_measures(hour)
+    daily = served.groupBy("outlet_id", "order_date").agg(
+        exact_sum("total_order_price").alias("sales"),
         F.count("order_id").alias("orders"),
-        F.count(price).alias("priced"),
-        F.sum(seconds).alias("cook_seconds"),
-        F.count(seconds).alias("cooked"),
-        exact_sum(F.when(peak, price)).alias("peak_sales"),
-        F.count_if(peak).alias("peak_orders"),
+        F.count("total_order_price").alias("priced"),
+        F.sum("cook_seconds").alias("cook_seconds"),
+        F.count("cook_seconds").alias("cooked"),
+        exact_sum("peak_price").alias("peak_sales"),
+        F.count_if("is_peak_hour").alias("peak_orders"),
         *named({**counts, **slots}),
     )
     measures = daily.groupBy("outlet_id").agg(
         exact_sum("sales").alias("total_sales"),
         F.sum("orders").alias("total_orders"),
-        rounded_ratio("sales", F.sum("priced")).alias("avg_order_value"),
+        rounded_ratio("sales", "sum(priced)").alias("avg_order_value"),
         *[F.sum(n).alias(n) for n in counts],
         F.round(F.try_divide(F.sum("cook_seconds"), F.sum("cooked") * 60), 2).alias("avg_cooking_duration_mins"),
         rounded_mean("sales").alias("avg_daily_sales"),

@@ -60,7 +60,7 @@ def customer_profile(tables: Tables, loaded_at: Column | None = None, as_of: Col
         .groupBy(F.col("known_id").alias("customer_id"))
         .agg(
             F.sum("orders").alias("total_orders"),
-            rounded_ratio("spent", F.sum("priced")).alias("average_order_value"),
+            rounded_ratio("spent", "sum(priced)").alias("average_order_value"),
             F.max("highest").alias("max_order_value"),
             F.min("lowest").alias("min_order_value"),
             exact_sum("spent").alias("total_spent"),
