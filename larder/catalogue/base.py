@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder.functions import rules
 from larder.operators.clean import drop_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,7 +138,7 @@ def sales(spark: SparkSession, sf: str) -> DataFrame:
             price.alias("total_order_price"),
             F.col("o_orderstatus").alias("order_type"),
             F.col("o_orderpriority").alias("payment_mode"),
-            (price > 1000).alias("high_value_flag"),
+            rules.is_high_value(price, rules.HIGH_VALUE_SOURCE).alias("high_value_flag"),
             (price > 5000).alias("total_order_price_anomaly_flag"),
         )
     )

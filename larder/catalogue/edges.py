@@ -160,8 +160,11 @@ def versioned_orders(spark, sf) -> lake.LakeTable:
 
 @query("staged_write", ORDERS)
 def staged_write(spark, sf):
+    """Orders to a day as a full load, the later ones as the next day's batch."""
     table = lake.LakeTable(scratch(spark), "raw", "orders")
-    lake.commit(spark, table, lake.stage(spark, table, load(spark, sf, "orders")))
+    orders = load(spark, sf, "orders")
+    lake.write(spark, table, change_window(orders, "o_orderdate", end=SPLIT), day="1999-01-01")
+    lake.write(spark, table, change_window(orders, "o_orderdate", start=SPLIT), "delta", day="1999-01-02")
     return lake.read(spark, table)
 
 

@@ -19,8 +19,10 @@ def upsert(
 
     The target is only ever the streamed side of a left join, so Spark broadcasts a change set under
     its size threshold and does not shuffle the target at all; a larger one meets it in a sort-merge
-    join on the key, one row per key on the change side. Known keys are found from the key columns.
-    ``changes`` is read several times: hand in a written table, not a plan that gives new rows each time.
+    join on the key. Grouping by the key as one struct makes both sides of that join plain shuffles,
+    the form in which adaptive execution splits hot or missing target keys. Known keys are found from
+    the key columns alone. ``changes`` is read several times: hand in a written table, not a plan that
+    gives new rows each time.
     """
     missing = [c for c in [*changes.columns, *keys] if c not in target.columns]
     missing += [c for c in [*(update or []), *keys] if c not in changes.columns]
@@ -31,12 +33,12 @@ def upsert(
 
     per_key = (
         changes.dropna(subset=list(keys))
-        .groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys])
+        .groupBy(F.struct(*keys).alias("_key"))
         .agg(F.count(F.lit(1)).alias("_copies"), *[F.first(c).alias(f"_new_{c}") for c in updated])
     )
     match = F.lit(True)
     for k in keys:
-        match = match & (F.col(k) == F.col(f"_key_{k}"))
+        match = match & (F.col(k) == F.col("_key")[k])
     clash = F.raise_error(F.lit("several changes for one target row"))
     checked = F.when(F.col("_copies") > 1, clash.cast("boolean")).otherwise(F.col("_copies").isNotNull())
     merged = target.join(per_key, match, "left").withColumn("_matched", checked)
@@ -47,7 +49,7 @@ def upsert(
         ]
     )
 
-    wanted = changes.select(*keys).distinct()
-    known = target.select(*keys).join(wanted, list(keys), "left_semi").distinct()
+    known = target.select(*keys).join(changes.select(*keys), list(keys), "left_semi")
+    known = known.select(F.struct(*keys).alias("_key")).distinct().select("_key.*")
     inserts = changes.join(known, list(keys), "left_anti")
     return after.unionByName(inserts, allowMissingColumns=True)

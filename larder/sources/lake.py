@@ -20,7 +20,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larder.sources.files import scan
+from larder.sources.files import scan, write_mode
 from larder.tables import TABLES
 
 # Folder of each layer, and of non-production runs.
@@ -173,6 +173,18 @@ def stage(spark: SparkSession, table: LakeTable, df: DataFrame, day: str | None
     return spark.read.parquet(table.staged(day))
 
 
+def write(
+    spark: SparkSession,
+    table: LakeTable,
+    df: DataFrame,
+    loadtype: str = "full",
+    mode: str | None = None,
+    day: str | None = None,
+) -> Version:
+    """Stage the batch of the day, then commit it: a full load replaces the table, any other appends."""
+    return commit(spark, table, stage(spark, table, df, day), write_mode(loadtype, mode))
+
+
 def history(spark: SparkSession, table: LakeTable) -> DataFrame:
     """``(version, base, record_count)`` of the table at each version, from one footer-only scan."""
     per_version = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from contextlib import contextmanager
 from datetime import datetime, timedelta
 
 import pytest
@@ -80,7 +81,7 @@ def test_small_changes_leave_the_target_unshuffled(spark, tmp_path):
     assert joins and all("BroadcastHashJoin" in line for line in joins)
     moved = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
     # Only the changes and the matched keys are regrouped, each by its own aggregate.
-    assert len(moved) == 3 and "FullOuter" not in text
+    assert len(moved) == 2 and "FullOuter" not in text
 
 
 keyed = st.dictionaries(st.integers(0, 30), st.integers(), max_size=20)
@@ -188,6 +189,52 @@ def test_join_back_spreads_a_hot_key_and_missing_keys(spark):
     assert sum(sizes) == n and max(sizes) < 1.3 * n / len(sizes)
 
 
+@contextmanager
+def small_skew_limits(spark):
+    """No broadcasts, and partitions count as skewed from 256 kB."""
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    old = {c: spark.conf.get(c, None) for c in limits}
+    try:
+        for c, v in limits.items():
+            spark.conf.set(c, v)
+        yield
+    finally:
+        for c, v in old.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
+
+
+@pytest.fixture
+def hot_rows(spark, tmp_path):
+    """A third of the rows has one key."""
+    key = F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 5000)
+    spark.range(300_000).select(key.alias("k"), F.uuid().alias("v")).write.parquet(str(tmp_path / "rows"))
+    spark.range(5000).select(F.col("id").alias("k"), F.uuid().alias("v")).write.parquet(str(tmp_path / "keys"))
+    return spark.read.parquet(str(tmp_path / "rows")), spark.read.parquet(str(tmp_path / "keys"))
+
+
+def test_hot_partitions_of_a_dimension_join_are_split(spark, hot_rows):
+    many, keys = hot_rows
+    with small_skew_limits(spark):
+        joined = lookup(many, keys.withColumnRenamed("v", "name"), "k", "name")
+        assert len(joined.collect()) == 300_000
+        assert "skew=true" in plan(joined)
+
+
+def test_hot_target_keys_of_a_large_merge_are_split(spark, hot_rows):
+    target, changes = hot_rows
+    with small_skew_limits(spark):
+        merged = upsert(target, changes, ["k"])
+        assert len({r.v for r in merged.collect()}) == 5000
+        outer = next(line for line in plan(merged).splitlines() if "LeftOuter" in line)
+        assert "skew=true" in outer
+
+
 def test_lookup_takes_only_named_columns(spark, rows):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     dim = spark.createDataFrame([(1, "one", "x")], "id int, name string, other string")
