@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,16 +50,6 @@ def load(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder for written tables: under the cluster's shared checkpoint folder if it names one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/larder-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir is not set; a cluster needs a shared folder for written tables")
-    return tempfile.mkdtemp(prefix="larder-")
-
-
 # --- SQL fragments -------------------------------------------------------------------------------
 
 

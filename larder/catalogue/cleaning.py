@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from larder.catalogue.base import load, query
 from larder.operators import clean
+from larder.sources.files import spread
 from larder.tables import CleaningRules
 
 
@@ -112,7 +113,7 @@ WHERE flag IN ('A', 'R')
 )
 def clean_table(spark, sf):
     padded = F.when(F.col("l_linestatus") == "F", F.concat("l_returnflag", F.lit(" "))).otherwise(" A ")
-    raw = load(spark, sf, "lineitem").select(
+    raw = spread(load(spark, sf, "lineitem")).select(
         F.concat(F.lit(" "), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber"), F.lit(" ")).alias("line_key"),
         padded.alias("flag"),
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("shipped"),

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from larder.catalogue.base import SCHEMAS, load, query, scratch
+from larder.catalogue.base import SCHEMAS, load, query
 from larder.catalogue.products import SQL_MENU_LINES, menu_orders
 from larder.functions.menu import LINE_SCHEMA, parse_lines
 from larder.operators.upsert import upsert
@@ -14,6 +14,7 @@ from larder.plans.facts import sales_items
 from larder.plans.jobs import seed_frame
 from larder.sources import lake
 from larder.sources.files import scan
+from larder.sources.shared import scratch
 from larder.streaming.incremental import change_window, high_water_mark
 
 ORDERS = "SELECT * FROM orders"

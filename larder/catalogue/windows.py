@@ -23,8 +23,7 @@ def cents(value: str):
 )
 def win_rank(spark, sf):
     orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    month = F.trunc("o_orderdate", "month")
-    return running(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], month, {"order_number": F.lit(1)})
+    return running(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], {"order_number": F.lit(1)})
 
 
 @query(
@@ -34,7 +33,7 @@ def win_rank(spark, sf):
 )
 def win_cumulative(spark, sf):
     events = load(spark, sf, "events").select("event_id", "user_id", "ts", cents("value").alias("cents"))
-    rows = running(events, ["user_id"], ["ts", "event_id"], F.to_date("ts"), {"spent_cents": F.col("cents")})
+    rows = running(events, ["user_id"], ["ts", "event_id"], {"spent_cents": F.col("cents")})
     return rows.drop("cents")
 
 
@@ -47,7 +46,7 @@ def win_cumulative(spark, sf):
 def win_moving(spark, sf):
     events = load(spark, sf, "events").select("event_id", "user_id", "ts", "value")
     frame = {"cents": F.sum(cents("value")), "n": F.count("value"), "max_of_three": F.max("value")}
-    rows = moving(events, ["user_id"], ["ts", "event_id"], F.to_date("ts"), 2, frame)
+    rows = moving(events, ["user_id"], ["ts", "event_id"], 2, frame)
     mean = F.col("cents").cast("double") / F.col("n") / 100
     return rows.select("event_id", "user_id", "ts", mean.alias("mean_of_three"), "max_of_three")
 

@@ -5,9 +5,10 @@ Two families:
 * ``window_spec`` with ``top_per_group``: rank and keep the first rows. Spark trims each group to
   the wanted rows in every map task (WindowGroupLimit), so hot groups never travel.
 * ``running`` and ``moving``: every row keeps a frame result. A plain window would sort a whole
-  group in one task; here a group is cut along a caller-given segment of its order (a day of the
-  timestamp, say), segments are processed in parallel, and small per-segment summaries carry the
-  state across. The result equals the plain window.
+  group in one task; here a group is cut along its order into segments, which are processed in
+  parallel, and small per-segment summaries carry the state across. The result equals the plain
+  window. By default the segments are the even parts of a range partitioning by group and order, so
+  that a group of any share of the rows is spread accordingly and a small group stays whole.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from larder.sources.shared import checkpointed
+
 
 def window_spec(
     partition_by: Sequence[Column | str] | None = None,
@@ -48,6 +51,14 @@ def page(df: DataFrame, order: Sequence[Column | str], number: int, size: int) -
     return df.orderBy(*order).offset(number * size).limit(size)
 
 
+def _segmented(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], segment: Column | None) -> DataFrame:
+    if segment is not None:
+        return df.withColumn("_segment", segment)
+    # Both uses of the segments must see the same range bounds, which are sampled: fix them first.
+    ranged = df.repartitionByRange(*by, *order)
+    return checkpointed(ranged.withColumn("_segment", F.spark_partition_id()))
+
+
 def _seeded(df: DataFrame, seeds: DataFrame) -> DataFrame:
     """Rows together with the carried rows, which sort before the rows of their segment."""
     return df.withColumn("_seed", F.lit(False)).unionByName(
@@ -59,18 +70,21 @@ def running(
     df: DataFrame,
     by: Sequence[str],
     order: Sequence[Column | str],
-    segment: Column,
     sums: Mapping[str, Column],
+    segment: Column | None = None,
 ) -> DataFrame:
     """Cumulative sums over each group in order, one output column per entry of ``sums``.
 
-    ``segment`` must not decrease along ``order`` within a group, and rows with equal order values
-    must share a segment. Use ``F.lit(1)`` as a value to number the rows. The total of the earlier
-    segments enters each segment as one extra first row.
+    Use ``F.lit(1)`` as a value to number the rows. The total of the earlier segments enters each
+    segment as one extra first row.
+
+    Data already held in fine steps of its order can name the step as ``segment``, say the hour of
+    the timestamp, and save the range partitioning. It must not decrease along ``order`` within a
+    group, and rows with equal order values must share it.
     """
     keys = [*by, "_segment"]
     values = {n: f"_value_{n}" for n in sums}
-    base = df.withColumns({"_segment": segment, **{values[n]: v for n, v in sums.items()}})
+    base = _segmented(df.withColumns({values[n]: v for n, v in sums.items()}), by, order, segment)
 
     earlier = window_spec(by, ["_segment"], (Window.unboundedPreceding, -1))
     position = F.row_number().over(window_spec(by, ["_segment"]))
@@ -94,9 +108,9 @@ def moving(
     df: DataFrame,
     by: Sequence[str],
     order: Sequence[str],
-    segment: Column,
     preceding: int,
     aggregates: Mapping[str, Column],
+    segment: Column | None = None,
 ) -> DataFrame:
     """Aggregates over the current row and up to ``preceding`` earlier rows of its group.
 
@@ -104,7 +118,7 @@ def moving(
     segment borrows the last rows of the segments before it, ``preceding`` at most.
     """
     keys = [*by, "_segment"]
-    base = df.withColumn("_segment", segment)
+    base = _segmented(df, by, order, segment)
 
     from_end = F.row_number().over(window_spec(keys, [F.desc(c) for c in order]))
     row = F.struct(*order, F.struct(*df.columns).alias("row"))

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, TimestampNTZType
 
 
-def _bound(value) -> Column:
-    return value if isinstance(value, Column) else F.lit(value)
+def _bound(df: DataFrame, column: str, value) -> Column:
+    """The bound as a literal of the column's own type, so that the scan can evaluate the comparison."""
+    zoneless = isinstance(df.schema[column].dataType, TimestampNTZType)
+    if zoneless and isinstance(value, datetime):
+        value = value.isoformat(sep=" ")
+    value = value if isinstance(value, Column) else F.lit(value)
+    return value.cast("timestamp_ntz") if zoneless else value
 
 
 def change_window(df: DataFrame, column: str | None, start=None, end=None) -> DataFrame:
@@ -17,10 +25,13 @@ def change_window(df: DataFrame, column: str | None, start=None, end=None) -> Da
     """
     if column is None:
         return df
+    # Times that a source delivers as text are compared as times; what cannot be read is in no window.
+    text = isinstance(df.schema[column].dataType, StringType)
+    value = F.try_to_timestamp(column) if text else F.col(column)
     if start is not None:
-        df = df.filter(F.col(column) > _bound(start))
+        df = df.filter(value > _bound(df, column, start))
     if end is not None:
-        df = df.filter(F.col(column) <= _bound(end))
+        df = df.filter(value <= _bound(df, column, end))
     return df
 
 

@@ -209,11 +209,19 @@ def test_change_window_bounds(spark):
     assert picked("t") == picked(None, 2, 4) == [1, 2, 3, 4, 5]
 
 
-def test_change_window_reaches_the_scan(spark, tmp_path):
-    spark.range(10).select("id", F.timestamp_seconds("id").alias("ts")).write.parquet(str(tmp_path / "t"))
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_change_window_reaches_the_scan(spark, tmp_path, kind):
+    moments = spark.range(0, 200_000, 86_400).select(F.timestamp_seconds("id").cast(kind).alias("ts"))
+    moments.write.parquet(str(tmp_path / "t"))
     df = change_window(spark.read.parquet(str(tmp_path / "t")), "ts", datetime(1970, 1, 1), datetime(1970, 1, 2))
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(ts" in text and "LessThanOrEqual(ts" in text
+    assert [r.ts for r in df.collect()] == [datetime(1970, 1, 2)]
+
+
+def test_change_window_over_text_times(spark):
+    df = spark.createDataFrame([("2025-11-10T08:00:00",), ("2025-11-11 08:00:00",), ("soon",)], "t string")
+    assert change_window(df, "t", datetime(2025, 11, 10, 12)).count() == 1
 
 
 def test_high_water_mark_of_nothing(spark):

@@ -114,26 +114,45 @@ def events(spark, seed: int, n: int = 400):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_running_equals_the_plain_window(spark, rows, seed):
-    df = events(spark, seed)
+@pytest.mark.parametrize("segment", ["range", "day"])
+def test_running_equals_the_plain_window(spark, rows, seed, segment):
+    df, segment = events(spark, seed), None if segment == "range" else F.to_date("ts")
     spec = window_spec(["k"], ["ts", "id"], (Window.unboundedPreceding, 0))
     plain = df.withColumns({"total": F.sum("v").over(spec), "number": F.row_number().over(window_spec(["k"], ["ts", "id"]))})
-    ours = running(df, ["k"], ["ts", "id"], F.to_date("ts"), {"total": F.col("v"), "number": F.lit(1)})
+    ours = running(df, ["k"], ["ts", "id"], {"total": F.col("v"), "number": F.lit(1)}, segment)
     assert ours.columns == plain.columns
     assert rows(ours) == rows(plain)
 
 
-@pytest.mark.parametrize(("seed", "preceding"), [(1, 1), (2, 2), (3, 7)])
-def test_moving_equals_the_plain_window(spark, rows, seed, preceding):
-    df = events(spark, seed, 150)
+@pytest.mark.parametrize(("seed", "preceding", "segment"), [(1, 1, "range"), (2, 2, "day"), (3, 7, "range"), (4, 7, "day")])
+def test_moving_equals_the_plain_window(spark, rows, seed, preceding, segment):
+    df, segment = events(spark, seed, 150), None if segment == "range" else F.to_date("ts")
     aggregates = {"total": F.sum("v"), "n": F.count(F.lit(1)), "low": F.min("v")}
     spec = window_spec(["k"], ["ts", "id"], (-preceding, 0))
     plain = df.withColumns({n: a.over(spec) for n, a in aggregates.items()})
-    ours = moving(df, ["k"], ["ts", "id"], F.to_date("ts"), preceding, aggregates)
+    ours = moving(df, ["k"], ["ts", "id"], preceding, aggregates, segment)
     assert ours.columns == plain.columns
     assert rows(ours) == rows(plain)
 
 
+def test_running_spreads_a_hot_group(spark):
+    key = F.when(F.col("id") % 3 > 0, F.lit(-1)).otherwise(F.col("id"))
+    df = spark.range(60_000).select(key.alias("k"), "id")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        numbered = running(df, ["k"], ["id"], {"n": F.lit(1)})
+        parts = [r["count"] for r in numbered.groupBy(F.spark_partition_id()).count().collect()]
+        # Every part of the ranges holds a segment of its own, of which none is near the hot group's size.
+        ranged = df.repartitionByRange("k", "id").groupBy(F.spark_partition_id().alias("p")).count()
+        assert max(r["count"] for r in ranged.collect()) < 12_000
+        assert sum(parts) == 60_000 and max(parts) < 40_000
+        hot = numbered.filter("k = -1").agg(F.max("n"), F.count_distinct("n"))
+        assert tuple(hot.first()) == (40_000, 40_000)
+    finally:
+        spark.conf.unset(setting)
+
+
 def test_top_per_group_trims_before_the_shuffle(spark, rows):
     df = events(spark, 4)
     top = top_per_group(df, ["k"], ["ts", "id"], rows=2)
