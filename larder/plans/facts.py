@@ -14,6 +14,7 @@ from larder.operators.rollups import cooking_per_order, items_per_order, orders_
 
 Tables = dict[str, DataFrame]
 
+# Output columns of the products, in order.
 SALES_COLUMNS = (
     "order_id order_ts order_date order_hour order_week order_month order_year day_of_week is_weekend"
     " is_peak_hour customer_id customer_mobile is_repeat_customer total_orders_by_customer"

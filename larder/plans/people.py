@@ -16,12 +16,17 @@ from larder.operators.rollups import chef_workload, quantity_per_order
 
 Tables = dict[str, DataFrame]
 
+# Output columns of the products, in order.
 PROFILE_COLUMNS = (
     "customer_id total_orders average_order_value max_order_value min_order_value total_spent"
     " first_order_date last_order_date days_as_customer days_since_last_order total_items_ordered"
     " is_repeat_customer is_active_customer is_high_value_customer customer_segment"
     " customer_frequency_band items_per_order"
 ).split()
+PREFERENCE_COLUMNS = (
+    "item_id favorite_item_name outlet_id favorite_outlet_name orders_at_outlet preferred_payment_mode"
+    " orders_by_payment_method favorite_order_day favorite_order_hour weekend_order_ratio preferred_order_type"
+).split()
 CHEF_COLUMNS = (
     "chef_id chef_name outlet_id outlet_name total_orders_cooked avg_orders_per_day avg_cooking_time_sec"
     " min_cooking_time_sec max_cooking_time_sec peak_hour_orders ingested_at total_sales_value_cooked_by_chef"
@@ -154,11 +159,7 @@ def customer_preference(tables: Tables, loaded_at: Column | None = None) -> Data
         wide, tables["dim_outlet"], "outlet_id", "outlet_name", renamed={"outlet_name": "favorite_outlet_name"}
     )
     own = [c for c in customers.columns if c != "customer_id"]
-    added = (
-        "item_id favorite_item_name outlet_id favorite_outlet_name orders_at_outlet preferred_payment_mode"
-        " orders_by_payment_method favorite_order_day favorite_order_hour weekend_order_ratio preferred_order_type"
-    ).split()
-    return stamp(wide.select("customer_id", *own, *added), loaded_at)
+    return stamp(wide.select("customer_id", *own, *PREFERENCE_COLUMNS), loaded_at)
 
 
 def chef_performance(
