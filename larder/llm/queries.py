@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import quality, secrets, toxicity
+from larder.llm import lm, quality, secrets, toxicity
 from larder.llm.near_dup import near_duplicates
 from larder.llm.quality import score_quality
 from larder.llm.stages import fold
@@ -75,3 +75,9 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query("op4_log_bilinear_scores")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    scored = lm.score_texts(table(spark, sf, "documents"), fold("doc_id", 5) != 1)
+    return scored.select("doc_id", (fold("doc_id", 5) == 1).alias("held_out"), *scored.columns[1:])
