@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import lm, quality, secrets, toxicity
+from larder.llm import lm, quality, rules, secrets, sharding, toxicity
+from larder.llm.contamination import contaminated
 from larder.llm.near_dup import near_duplicates
 from larder.llm.quality import score_quality
 from larder.llm.stages import fold
@@ -81,3 +82,28 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     scored = lm.score_texts(table(spark, sf, "documents"), fold("doc_id", 5) != 1)
     return scored.select("doc_id", (fold("doc_id", 5) == 1).alias("held_out"), *scored.columns[1:])
+
+
+@query("op6_divergence_rules")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return rules.quality_rules(table(spark, sf, "documents"))
+
+
+@query("op8_two_pass_sharding")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    placed = sharding.shard_records(table(spark, sf, "documents"), shards=8)
+    content = F.coalesce("text", F.lit("")).cast("binary")
+    return placed.select(
+        "doc_id",
+        sharding.text_bytes(F.col("text")).alias("size"),
+        F.crc32(content).cast("long").alias("text_crc32"),
+        F.lit(sharding.LAW).alias("law"),
+        "shard",
+        F.col("slot").cast("long").alias("slot"),
+        sharding.shard_of(F.col("doc_id"), 9).alias("grown_shard"),
+    )
+
+
+@query("op9_simhash_decontamination")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
