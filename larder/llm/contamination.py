@@ -143,15 +143,13 @@ def window_matches(words: Words, items: Items, least: float) -> list[tuple[int,
                 held = places[_inside(own[places], items.own[n])]
                 if not len(held) or len(own) < span:
                     continue
-                starts = np.unique((held[:, None] - np.arange(span)[None, :]).ravel())
-                starts = starts[(starts >= 0) & (starts <= len(own) - span)]
                 # Shingles that no item of this length has count against a window: similarity is at most held / all.
                 total, ours = np.zeros(len(own) + 1, np.int64), np.zeros(len(own) + 1, np.int64)
                 np.cumsum(weight, out=total[1:])
                 ours[held + 1] = weight[held]
                 np.cumsum(ours, out=ours)
-                bound = ours[starts + span] - ours[starts] >= least * (total[starts + span] - total[starts])
-                starts = starts[bound]
+                mine, all_of = ours[span:] - ours[:-span], total[span:] - total[:-span]
+                starts = np.flatnonzero((mine > 0) & (mine >= least * all_of))
                 for at in range(0, len(starts), 4096):
                     some = starts[at : at + 4096]
                     lo, hi = some[0], some[-1] + span

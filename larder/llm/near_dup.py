@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.components import components
+from larder.llm.links import links
 from larder.llm.stages import stored
 from larder.llm.text import Reader, shingles
 
@@ -81,19 +82,6 @@ def _shingle_sets(size: int):
     return sets
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets have ``100 * shared >= percent * united``; sizes rule out first."""
-    a = sets.select(F.col("_id").alias("_ia"), F.col("_set").alias("_sa"))
-    b = sets.select(F.col("_id").alias("_ib"), F.col("_set").alias("_sb"))
-    joined = pairs.join(a, F.col("a") == F.col("_ia")).join(b, F.col("b") == F.col("_ib"))
-    shared = F.size(F.array_intersect("_sa", "_sb"))
-    return joined.filter(100 * shared >= percent * (F.size("_sa") + F.size("_sb") - shared)).select("a", "b")
-
-
-def _size_fits(percent: int):
-    return (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-
-
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -109,9 +97,7 @@ def near_duplicates(
     or more; ``component_id`` is the least id that can be reached, and ``kept`` marks its owner.
 
     Copies with equal sets are one class and meet in one representative, the least id, before any
-    comparison. In a bucket, members are first compared with two leaders, which joins large groups
-    without pairing their members. Only members still in different components are then paired.
-    No bucket or candidate is dropped.
+    comparison. No bucket or candidate is dropped.
 
     Null and empty texts, and texts without words, have no shingles and are linked with nothing. Rows
     with a null id are linked with nothing and kept. Rows that repeat an id are one document: each
@@ -129,53 +115,18 @@ def near_duplicates(
     classes = stored(known.groupBy("_key").agg(F.min("_id").alias("_rep")))
 
     # Buckets of representatives: (bucket, id, size), each band of a class once.
-    reps = known.select("_id", F.col("_key").alias("_k"), "_n", "_bands").join(
+    reps = known.select("_id", F.col("_key").alias("_k"), "_bands").join(
         classes, (F.col("_k") == F.col("_key")) & (F.col("_id") == F.col("_rep"))
     )
     # A bucket is a band number and its value, held in one number mixed from both.
-    rows = reps.select("_id", "_n", F.posexplode("_bands").alias("_band", "_value"))
-    buckets = rows.select(F.xxhash64("_value", "_band").alias("bucket"), F.col("_id").alias("id"), F.col("_n").alias("n"))
-    lone = buckets.groupBy("bucket").agg(
-        F.min("id").alias("first"), F.max("id").alias("last"), F.min("n").alias("least"), F.max("n").alias("most")
-    )
-    shared = stored(lone.filter("first <> last"))
-    members = stored(
-        buckets.join(shared.select(F.col("bucket").alias("_b")), F.col("bucket") == F.col("_b"), "left_semi")
-    )
-    ids = members.select("id").distinct()
-    texts = source.join(ids, F.col("_id") == F.col("id"), "left_semi")
-    sets = stored(texts.mapInArrow(_shingle_sets(shingle_words), f"_id {id_type}, _set array<bigint>"))
-
-    def star(leader: str) -> DataFrame:
-        heads = shared.select(F.col("bucket").alias("_b"), F.col(leader).alias("_leader"))
-        return members.join(heads, F.col("bucket") == F.col("_b")).filter("id <> _leader").select(
-            F.least("id", "_leader").alias("a"), F.greatest("id", "_leader").alias("b")
-        )
+    rows = reps.select("_id", F.posexplode("_bands").alias("_band", "_value"))
+    buckets = rows.select(F.xxhash64("_value", "_band").alias("bucket"), F.col("_id").alias("id"))
 
-    stars = stored(star("first").union(star("last")).distinct())
-    edges = stored(_verified(stars, sets, percent))
-    joined = components(edges)
+    def sets(ids: DataFrame) -> DataFrame:
+        texts = source.join(ids, F.col("_id") == F.col("id"), "left_semi")
+        return texts.mapInArrow(_shingle_sets(shingle_words), f"_id {id_type}, _set array<bigint>")
 
-    # Members of one bucket that are still apart: one row per component, bucket and member.
-    named = stored(
-        members.join(joined, F.col("id") == F.col("vertex"), "left").select(
-            "bucket", "id", "n", F.coalesce("component", "id").alias("component")
-        )
-    )
-    split = named.groupBy("bucket").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
-    split = stored(split.filter("_lo <> _hi").select(F.col("bucket").alias("_b")))
-    apart = stored(named.join(split, F.col("bucket") == F.col("_b"), "left_semi"))
-    left = apart.select(F.col("bucket").alias("_ba"), F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    right = apart.select(F.col("bucket").alias("_bb"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    pairs = (
-        left.join(right, (F.col("_ba") == F.col("_bb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
-        .filter(_size_fits(percent))
-        .select("a", "b")
-        .distinct()
-    )
-    pairs = stored(pairs.join(stars.toDF("_xa", "_xb"), (F.col("a") == F.col("_xa")) & (F.col("b") == F.col("_xb")), "left_anti"))
-    more = stored(_verified(pairs, sets, percent))
-    linked = components(edges.union(more)).toDF("_vertex", "_component")
+    linked = components(links(buckets, sets, percent)).toDF("_vertex", "_component")
 
     placed = classes.join(linked, F.col("_rep") == F.col("_vertex"), "left")
     placed = stored(placed.select(F.col("_key").alias("_ck"), F.coalesce("_component", "_rep").alias("_component")))

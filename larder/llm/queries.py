@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from larder.llm import lm, quality, rules, secrets, sharding, toxicity
 from larder.llm.contamination import contaminated
+from larder.llm.lines import fuzzy_lines
+from larder.llm.mixing import mix_sources
 from larder.llm.near_dup import near_duplicates
 from larder.llm.quality import score_quality
 from larder.llm.stages import fold
@@ -107,3 +109,35 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_simhash_decontamination")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+# Means here are below 16, so one hashed number decides each document.
+MIXED_SQL = """
+WITH counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+rates AS (
+  SELECT source, (SELECT sum(n) FROM counts) * sqrt(n) / (SELECT sum(sqrt(n)) FROM counts) / n AS rate FROM counts
+),
+below AS (
+  SELECT source, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS p
+  FROM rates, range(97) AS t(k)
+),
+units AS (
+  SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':mix:1'), 1, 13))::BIGINT / 4503599627370496.0 AS u
+  FROM documents
+),
+counted AS (
+  SELECT *, (SELECT count(*) FROM below AS b WHERE b.source IS NOT DISTINCT FROM units.source AND units.u >= b.p) AS n
+  FROM units
+)
+SELECT doc_id, text, lang, source, n_chars, unnest(range(n))::INT AS copy FROM counted
+"""
+
+
+@query("op5_poisson_mixing", MIXED_SQL)
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return mix_sources(table(spark, sf, "documents"))
+
+
+@query("op10_fuzzy_line_dedup")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return fuzzy_lines(table(spark, sf, "documents"))
