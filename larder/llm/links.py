@@ -20,46 +20,97 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(100 * shared >= percent * (F.size("_sa") + F.size("_sb") - shared)).select("a", "b")
 
 
+def _apart_pairs(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one group, in different components, that may reach the similarity.
+
+    ``groups`` has (leader, id, n, component, home): home is the leader's component. Members differ from
+    their leader in a set of elements each, their delta. Two members differ in what only one of their
+    deltas holds, so the similarity needs an overlap of the deltas that grows with their sizes. Elements
+    are taken in the order of how few deltas of the group hold them; then two deltas with that overlap
+    share one of their first elements, the delta's size less the overlap plus one of each, and the first one
+    shared leaves room for the rest of the overlap. What nearly all members share comes last, and so a
+    large group is not paired with itself.
+    """
+    mine = sets.select(F.col("_id").alias("_ia"), F.col("_set").alias("_sa"))
+    head = sets.select(F.col("_id").alias("_ib"), F.col("_set").alias("_sb"))
+    deltas = groups.join(mine, F.col("id") == F.col("_ia")).join(head, F.col("leader") == F.col("_ib"))
+    delta = F.concat(F.array_except("_sa", "_sb"), F.array_except("_sb", "_sa"))
+    deltas = deltas.select("leader", "id", "n", "component", "home", delta.alias("delta"))
+    deltas = stored(deltas.withColumn("d", F.size("delta")))
+    away = F.col("component") != F.col("home")
+    bounds = stored(
+        deltas.groupBy(F.col("leader").alias("_l")).agg(
+            F.min("d").alias("any"),
+            F.min(F.when(away, F.col("d"))).alias("away"),
+            F.max("d").alias("most"),
+            F.max("n").alias("longest"),
+        )
+    )
+    # |x only or y only| <= (n_x + n_y) * (100 - p) / (100 + p); the overlap is half of what the deltas have more.
+    other = F.least(F.col("longest"), F.floor(F.col("n") * 100 / percent))
+    allowed = (F.col("n") + other) * (100 - percent) / (100 + percent)
+    least = F.when(away, F.col("any")).otherwise(F.col("away"))
+    needed = F.greatest(F.ceil((F.col("d") + least - allowed) / 2 - 1e-9), F.lit(1))
+    able = deltas.join(bounds, F.col("leader") == F.col("_l")).withColumn("needed", needed)
+    able = able.filter((F.col("needed") <= F.col("d")) & (F.col("needed") <= F.col("most")))
+    able = stored(able.select("leader", "id", "n", "component", "delta", "d", "needed"))
+    elements = able.select("leader", "id", F.explode("delta").alias("e"))
+    held = elements.groupBy(F.col("leader").alias("_l"), F.col("e").alias("_e")).agg(F.count("*").alias("held"))
+    held = stored(held.filter("held > 1"))
+    common = elements.join(held, (F.col("leader") == F.col("_l")) & (F.col("e") == F.col("_e")))
+    listed = common.groupBy(F.col("leader").alias("_l"), F.col("id").alias("_i")).agg(
+        F.array_sort(F.collect_list(F.struct("held", "e"))).alias("shared")
+    )
+    listed = stored(listed)
+    firsts = able.join(listed, (F.col("leader") == F.col("_l")) & (F.col("id") == F.col("_i")))
+    # Elements that no other delta holds come before all others and use up their places.
+    places = F.col("d") - F.col("needed") + 1 - (F.col("d") - F.size("shared"))
+    firsts = firsts.filter(places > 0).select(
+        "leader", "id", "n", "component", "d", F.size("shared").alias("_k"),
+        F.posexplode(F.slice("shared", 1, places.cast("int"))).alias("_at", "s"),
+    )
+    # What can still be shared after this element.
+    firsts = stored(firsts.select("leader", F.col("s.e").alias("e"), "id", "n", "component", "d", (F.col("_k") - F.col("_at")).alias("rest")))
+    left, right = firsts.toDF("_la", "_ea", "a", "na", "ca", "da", "ra"), firsts.toDF("_lb", "_eb", "b", "nb", "cb", "db", "rb")
+    overlap = F.col("da") + F.col("db") - (F.col("na") + F.col("nb")) * (100 - percent) / (100 + percent)
+    met = (F.col("_la") == F.col("_lb")) & (F.col("_ea") == F.col("_eb")) & (F.col("a") < F.col("b"))
+    met = met & (2 * F.least("ra", "rb") >= overlap - 1e-9)
+    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    return left.join(right, met & (F.col("ca") != F.col("cb")) & fits).select("a", "b").distinct()
+
+
 def links(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Edges (a, b) that connect whatever pairs of a shared bucket with Jaccard ``percent`` or more connect.
 
-    ``buckets`` has (bucket, id). ``sets_of`` gives (_id, _set), distinct hashes, for a table of ids. Members of a bucket are first compared with two leaders, which joins large
-    groups without pairing their members. Only pairs of one bucket whose members are still in different
-    components, and whose sizes allow the similarity, are then compared.
+    ``buckets`` has (bucket, id). ``sets_of`` gives (_id, _set), distinct hashes, for a table of ids. Members of
+    a bucket are first compared with one leader, the member in most shared buckets, which is near the
+    middle of a group of near copies. Only pairs of one bucket whose members are still in different
+    components, and whose differences from their leader allow the similarity, are then compared.
     """
     ends = buckets.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    shared = stored(ends.filter("first <> last"))
-    several = buckets.join(shared.select(F.col("bucket").alias("_b")), F.col("bucket") == F.col("_b"), "left_semi")
-    several = stored(several.select("bucket", "id"))
+    shared = stored(ends.filter("first <> last").select(F.col("bucket").alias("_b")))
+    several = buckets.join(shared, F.col("bucket") == F.col("_b"), "left_semi").select("bucket", "id").distinct()
+    several = stored(several)
     sets = stored(sets_of(several.select("id").distinct()))
-    sizes = stored(sets.select("_id", F.size("_set").alias("n")))
-    members = stored(several.join(sizes, F.col("id") == F.col("_id")).select("bucket", "id", "n"))
-    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-
-    def star(leader: str) -> DataFrame:
-        heads = shared.join(sizes, F.col(leader) == F.col("_id")).select(
-            F.col("bucket").alias("_b"), F.col(leader).alias("_leader"), F.col("n").alias("nb")
-        )
-        pairs = members.withColumnRenamed("n", "na").join(heads, F.col("bucket") == F.col("_b"))
-        return pairs.filter((F.col("id") != F.col("_leader")) & fits).select(
-            F.least("id", "_leader").alias("a"), F.greatest("id", "_leader").alias("b")
-        )
+    known = several.groupBy(F.col("id").alias("_d")).agg(F.count("*").alias("degree"))
+    sizes = sets.select("_id", F.size("_set").alias("n")).join(known, F.col("_id") == F.col("_d")).drop("_d")
+    sizes = stored(sizes)
+    members = stored(several.join(sizes, F.col("id") == F.col("_id")).select("bucket", "id", "n", "degree"))
+    heads = members.groupBy("bucket").agg(F.min(F.struct(-F.col("degree"), "id", "n")).alias("h"))
+    heads = stored(heads.select(F.col("bucket").alias("_b"), F.col("h.id").alias("leader"), F.col("h.n").alias("nb")))
+    led = members.join(heads, F.col("bucket") == F.col("_b")).filter(F.col("id") != F.col("leader"))
+    led = stored(led.select("leader", "id", "n", "nb").distinct())
+    stars = led.filter(100 * F.least("n", "nb") >= percent * F.greatest("n", "nb"))
+    edges = stored(_verified(stars.select(F.col("leader").alias("a"), F.col("id").alias("b")), sets, percent))
+    joined = stored(components(edges))
 
-    stars = stored(star("first").union(star("last")).distinct())
-    edges = stored(_verified(stars, sets, percent))
-    joined = components(edges)
-
-    named = stored(
-        members.join(joined, F.col("id") == F.col("vertex"), "left").select(
-            "bucket", "id", "n", F.coalesce("component", "id").alias("component")
-        )
-    )
-    split = named.groupBy("bucket").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
-    split = stored(split.filter("_lo <> _hi").select(F.col("bucket").alias("_b")))
-    apart = stored(named.join(split, F.col("bucket") == F.col("_b"), "left_semi"))
-    left, right = apart.toDF("_ba", "a", "na", "ca"), apart.toDF("_bb", "b", "nb", "cb")
-    pairs = left.join(right, (F.col("_ba") == F.col("_bb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
-    pairs = pairs.filter(fits).select("a", "b").distinct()
-    known = stars.toDF("_xa", "_xb")
-    pairs = stored(pairs.join(known, (F.col("a") == F.col("_xa")) & (F.col("b") == F.col("_xb")), "left_anti"))
+    # Groups of one leader whose other members are in several components.
+    named = led.join(joined.toDF("_v", "_c"), F.col("id") == F.col("_v"), "left")
+    named = named.select("leader", "id", "n", F.coalesce("_c", "id").alias("component"))
+    named = named.join(joined.toDF("_v", "_c"), F.col("leader") == F.col("_v"), "left")
+    named = stored(named.select("leader", "id", "n", "component", F.coalesce("_c", "leader").alias("home")))
+    split = named.groupBy(F.col("leader").alias("_l")).agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    split = stored(split.filter("lo <> hi").select("_l"))
+    groups = stored(named.join(split, F.col("leader") == F.col("_l"), "left_semi"))
+    pairs = stored(_apart_pairs(groups, sets, percent))
     return stored(edges.union(_verified(pairs, sets, percent)))
