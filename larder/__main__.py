@@ -55,14 +55,16 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    spark = SparkSession.builder.appName(f"larder {args.job}").getOrCreate()
+    # Times without a zone are UTC; dimension loads run side by side in fair pools.
+    builder = SparkSession.builder.appName(f"larder {args.job}").config("spark.sql.session.timeZone", "UTC")
+    spark = builder.config("spark.scheduler.mode", "FAIR").getOrCreate()
     if args.job == "seed":
         return jobs.seed(spark, args.folder, database())
     target = jobs.Lake(spark, args.root, args.runtype)
     if args.job in ("raw", "dimensions"):
         if args.landing:
             def fetch(name):
-                return read_landing(spark, args.landing, name, args.loadtype, args.day)
+                return read_landing(spark, args.landing, name, jobs.effective_loadtype(name, args.loadtype), args.day)
         else:
             fetch = jobs.database_fetch(spark, database())
         if args.job == "raw":

@@ -350,12 +350,9 @@ def join_left_dim(spark, sf):
     ),
 )
 def join_back_agg(spark, sf):
-    """A tenth of the buyers counts as hot here, so both ways through the join carry rows."""
     visits = base.visits(spark, sf)
     rows = visits.select("order_id", "customer_id")
-    return join_back(
-        rows, orders_per_customer(visits), "customer_id", "total_orders_by_customer", ["order_id"], hot_keys=15
-    )
+    return join_back(rows, orders_per_customer(visits), "customer_id")
 
 
 @query(

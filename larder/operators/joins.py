@@ -13,10 +13,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1000
-SPREAD = 256
-
-
 def lookup(
     left: DataFrame, dimension: DataFrame, on: str, *columns: str, renamed: Mapping[str, str] | None = None
 ) -> DataFrame:
@@ -25,36 +21,23 @@ def lookup(
     return left.join(wanted, on, "left")
 
 
-def join_back(
-    rows: DataFrame,
-    per_key: DataFrame,
-    on: str,
-    weight: str,
-    spread_by: Sequence[str],
-    hot_keys: int = HOT_KEYS,
-    spread: int = SPREAD,
-) -> DataFrame:
-    """``rows`` left join ``per_key`` where single keys may own a large share of ``rows``.
+def join_back(rows: DataFrame, per_key: DataFrame, on: str) -> DataFrame:
+    """``rows`` left join ``per_key``, an aggregate of them, where one key or null may own a large share of ``rows``.
 
-    ``per_key`` is an aggregate of the rows, one row per key, and ``weight`` its row count. The
-    ``hot_keys`` heaviest keys are broadcast: a fixed number of narrow rows, whatever the data size.
-    Rows with such a key, or none, need no partner from the shuffle and are spread over it by a
-    hash of ``spread_by``; only the rest meets on the key. No row is moved twice and none is dropped.
+    The adaptive skew rule splits a join only where both sides are shuffled for the join itself, which an
+    aggregate by the same key is not. So the aggregate's few rows of a key are packed once more by a struct
+    of the key, whose hash is another, and unpacked after the join. Rows with repeated keys in ``per_key``
+    come out once for each, as in any left join.
     """
     payload = [c for c in per_key.columns if c != on]
-    per_key = per_key.filter(F.col(on).isNotNull())
-    heaviest = per_key.orderBy(F.desc(weight), on).limit(hot_keys)
-    hot = heaviest.select(F.col(on).alias("_hot_key"), F.struct(*payload).alias("_hot"))
-    slot = F.pmod(F.xxhash64(*spread_by), F.lit(spread)) + 1
-    marked = rows.join(F.broadcast(hot), F.col(on) == F.col("_hot_key"), "left").withColumn(
-        "_slot", F.when(F.col("_hot_key").isNotNull() | F.col(on).isNull(), slot).otherwise(F.lit(0))
+    packed = (
+        per_key.filter(F.col(on).isNotNull())
+        .groupBy(F.struct(F.col(on).alias("k")).alias("_key"))
+        .agg(F.collect_list(F.struct(*payload)).alias("_matches"))
     )
-    # Always 0, but computed from the key, so that the optimizer keeps the slot among the join keys.
-    home = F.xxhash64(on).bitwiseAND(F.lit(0))
-    cold = per_key.select(F.col(on).alias("_key"), home.alias("_home"), F.struct(*payload).alias("_cold"))
-    joined = marked.join(cold, (F.col(on) == F.col("_key")) & (F.col("_slot") == F.col("_home")), "left")
-    found = F.coalesce("_hot", "_cold")
-    return joined.select(*rows.columns, *[found[c].alias(c) for c in payload])
+    joined = rows.join(packed, F.col(on) == F.col("_key.k"), "left")
+    joined = joined.select(*rows.columns, F.explode_outer("_matches").alias("_match"))
+    return joined.select(*rows.columns, *[F.col("_match")[c].alias(c) for c in payload])
 
 
 def keep_present(df: DataFrame, names: Sequence[str]) -> DataFrame:

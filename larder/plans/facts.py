@@ -79,7 +79,7 @@ def sales_enriched(
         "customer_id",
         "customer_mobile",
     )
-    wide = join_back(wide, customers, "customer_id", weight="total_orders_by_customer", spread_by=["order_id"])
+    wide = join_back(wide, customers, "customer_id")
     wide = lookup(wide, tables["dim_outlet"], "outlet_id", "outlet_name")
 
     wide = fill_defaults(wide, {"total_items": 0, "distinct_items_count": 0, "total_toppings_count": 0})

@@ -62,19 +62,22 @@ def store(target: Lake, name: str, df: DataFrame, loadtype: str) -> lake.Version
     return lake.commit(target.spark, target.table(name), df)
 
 
+def effective_loadtype(name: str, loadtype: str) -> str:
+    """What a load of this table does: facts without a change window are always loaded in full."""
+    return loadtype if table(name).incremental or name in DIMENSIONS else "full"
+
+
 def load_raw(target: Lake, name: str, fetch: Fetch, loadtype: str = "full", until=None) -> lake.Version:
     """Extract, clean and store one raw table.
 
     Only tables marked incremental are cut to the change window above the stored high-water mark of
     their change column; all others are fetched whole.
     """
-    spec = table(name)
+    spec, loadtype = table(name), effective_loadtype(name, loadtype)
     source = fetch(name)
     if loadtype == "delta" and spec.incremental:
         mark = last_loaded(target.read(name), spec.change_column) if target.has(name) else None
         source = change_window(source, spec.change_column, mark, F.current_timestamp() if until is None else until)
-    elif name not in DIMENSIONS:
-        loadtype = "full"
     # Of rows with one key the latest stays, then the first by its other columns, so a rerun repeats it.
     latest = [F.desc(spec.change_column)] if spec.change_column else []
     others = [c for c in source.columns if c not in spec.rules.unique_by and c != spec.change_column]

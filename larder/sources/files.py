@@ -47,13 +47,3 @@ def scan(spark: SparkSession, kind: str, path: str | list[str], schema: Schema =
 def write_mode(loadtype: str, mode: str | None = None) -> str:
     """An explicit mode wins; a full load overwrites, any other appends."""
     return mode or ("overwrite" if loadtype == "full" else "append")
-
-
-def spread(scanned: DataFrame) -> DataFrame:
-    """Share a scan of too few splits among all cores, ahead of costly work per row.
-
-    One large JSON document, row group or JDBC result is a single task however large the cluster.
-    Takes a bare scan; where it already has a task per core, as any large table has, nothing moves.
-    """
-    cores = scanned.sparkSession.sparkContext.defaultParallelism
-    return scanned.repartition(cores) if scanned.rdd.getNumPartitions() < cores else scanned

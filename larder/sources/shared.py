@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one in local mode without that setting."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one in single-process local mode without that setting."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("spark.checkpoint.dir is not set; a cluster needs a shared folder for written tables")
     return tempfile.mkdtemp(prefix="larder-")
 

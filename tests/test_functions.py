@@ -37,6 +37,22 @@ def test_exact_sum_edges(spark, values, expected):
     assert df.agg(exact_sum("v").alias("s")).first().s == expected
 
 
+@pytest.mark.parametrize("value, n", [("1e-7D", 10_000_000), ("1D / 3D", 3_000_000), ("9.9e11D", 10_000_000)])
+def test_exact_sum_loses_no_digit(spark, value, n):
+    one = spark.range(1).selectExpr(f"{value} AS v").first().v
+    total = spark.range(n).selectExpr(f"{value} AS v").agg(exact_sum("v").alias("s")).first().s
+    assert total == pytest.approx(float(Decimal(repr(one)) * n), rel=2.3e-16)
+
+
+def test_exact_sum_of_mixed_magnitudes_in_any_order(spark):
+    draws = random.Random(3)
+    values = [draws.choice((1, -1)) * 10 ** draws.uniform(-9, 13) for _ in range(5000)]
+    for seed in range(3):
+        draws.shuffle(values)
+        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(seed + 2)
+        assert df.agg(exact_sum("v").alias("s")).first().s == pytest.approx(math.fsum(values), rel=2.3e-16)
+
+
 def test_exact_sum_of_nan_is_nan(spark):
     df = spark.createDataFrame([(float("nan"),), (1.0,)], "v double")
     assert math.isnan(df.agg(exact_sum("v").alias("s")).first().s)

@@ -367,3 +367,16 @@ def test_schemas_of_the_registry_and_the_fixture_agree(spark):
         fixture = spark.createDataFrame([], SCHEMAS[name]).columns
         declared = spark.createDataFrame([], table(name).schema).columns
         assert [c for c in fixture if c in declared] == declared
+
+
+def test_command_line_keeps_all_days_of_stock(spark, tmp_path):
+    for day, item in (("2025-11-10", "Rice"), ("2025-11-11", "Oil")):
+        folder = tmp_path / "drop" / "DataSource" / day
+        folder.mkdir(parents=True)
+        row = f"OUT1,{item},5.0,kg,{day}T01:00:00\n"
+        (folder / "fact_stock.csv").write_text("outlet_id,stock_item,available_quantity,unit_of_measure,stock_date\n" + row)
+    common = ["--table", "fact_stock", "--root", str(tmp_path / "lake"), "--landing", str(tmp_path / "drop")]
+    cli.main(["raw", "--loadtype", "full", *common])
+    cli.main(["raw", "--loadtype", "delta", "--day", "2025-11-11", *common])
+    stored = jobs.Lake(spark, str(tmp_path / "lake")).read("fact_stock")
+    assert sorted(r.stock_item for r in stored.collect()) == ["Oil", "Rice"]

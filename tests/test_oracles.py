@@ -4,7 +4,8 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from larder.catalogue import ORACLES, QUERIES
 from tools.check_oracles import connect, difference
 
 SF = "/root/testdata/sf0.001"
@@ -16,13 +17,13 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     assert difference(spark, duck, SF, name) is None
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_keeps_every_sale(spark):
