@@ -1,0 +1,374 @@
+"""Operators on small tables of hard cases: nulls, empty and long texts, ties, repeated rows, extra columns."""
+
+from __future__ import annotations
+
+import collections
+import math
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from larder.llm import contamination, lm, mixing, near_dup, quality, rules, secrets, sharding, toxicity
+from larder.llm.components import components
+from larder.llm.lines import fuzzy_lines
+from larder.llm.text import Reader, shingles
+from larder.llm.training import train_fold
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, _id int, word string, bucket string"
+WORDS = [f"w{i}" for i in range(400)]
+
+
+def prose(seed: int, n: int) -> str:
+    rng = np.random.default_rng(seed)
+    return " ".join(rng.choice(WORDS, n))
+
+
+BASE = prose(1, 200)
+NEAR = BASE.replace(BASE.split()[100], "changed", 1)
+CASES = [
+    (0, BASE, "en", "a"),
+    (1, BASE, "en", "a"),
+    (2, BASE.upper(), "en", "b"),
+    (3, NEAR, None, None),
+    (4, None, "en", "a"),
+    (5, "", "en", "a"),
+    (6, " \t\n", "xx", "b"),
+    (7, "single", "en", "b"),
+    (8, "single", None, "b"),
+    (9, prose(2, 30000), "en", "b"),
+    (10, "é" * 50 + " password=abcdef12 " + "0123456789abcdef01234567", "en", "b"),
+    (None, BASE, "en", "a"),
+    (11, prose(3, 80), "en", "a"),
+    (11, prose(3, 80), "en", "a"),
+    (12, prose(4, 90) + "\n" + prose(5, 20), "en", "a"),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, la, so, len(t or ""), 1, "x", "y") for i, t, la, so in CASES]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.limit(0)
+
+
+def test_words_are_ascii_blank_runs():
+    texts = ["A b\x0bC", None, "", "x\x85y 　z", "a b c"]
+    found = [[w.word(i) for i in range(w.first[r], w.first[r + 1])] for w in Reader().slices(pa.array(texts)) for r in range(5)]
+    assert found == [["a", "b", "c"], [], [], ["x\x85y", "　z"], ["a", "b", "c"]]
+
+
+def test_words_do_not_depend_on_slices():
+    texts = [prose(i, 50) for i in range(20)]
+    whole = next(Reader().slices(pa.array(texts)))
+    cut = np.concatenate([w.hash for w in Reader().slices(pa.array(texts), 100)])
+    assert (whole.hash == cut).all() and len(set(whole.hash.tolist())) == len(set(" ".join(texts).split()))
+
+
+def test_short_texts_are_one_shingle():
+    words = next(Reader().slices(pa.array(["a b", "a b", "b a", "", "a b c"])))
+    hashes, first = shingles(words, 3)
+    assert np.diff(first).tolist() == [1, 1, 1, 0, 1]
+    assert hashes[0] == hashes[1] and len(set(hashes.tolist())) == 3
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    chain = [(i, i + 1) for i in range(40)]
+    star = [(100, 100 + i) for i in range(1, 30)] + [(7000, 7000), (None, 3)]
+    found = dict(components(spark.createDataFrame(chain + star, "a bigint, b bigint")).collect())
+    assert found == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 7000: 7000}
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def brute_components(rows, size, percent=80):
+    sets = {}
+    for i, text in rows:
+        words = (text or "").encode().lower().split()
+        grams = frozenset(tuple(words[j : j + size]) for j in range(len(words) - size + 1)) if len(words) >= size else None
+        sets[i] = grams if grams is not None else frozenset([tuple(words)] if words else [])
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    ids = [i for i in sets if sets[i]]
+    for x in ids:
+        for y in ids:
+            n = len(sets[x] & sets[y])
+            if x < y and 100 * n >= percent * (len(sets[x]) + len(sets[y]) - n):
+                a, b = root(x), root(y)
+                parent[max(a, b)] = min(a, b)
+    return {i: (len(sets[i]), root(i)) for i in sets}
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_near_duplicates_equal_brute_force(spark, docs, size):
+    rows = [(i, t) for i, t, _, _ in CASES if i is not None]
+    rng = np.random.default_rng(9)
+    for k in range(60):  # a large group of near copies, some of them apart from most others
+        words = BASE.split()
+        for at in rng.choice(200, rng.integers(1, 14), replace=False):
+            words[at] = f"edit{k}x{at}"
+        rows.append((1000 + k, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dup.near_duplicates(frame, shingle_words=size).collect()}
+    assert found == brute_components(rows, size)
+
+
+def test_near_duplicates_hard_rows(docs, none):
+    rows = near_dup.near_duplicates(docs).collect()
+    assert len(rows) == len(CASES)
+    unnamed = [r for r in rows if r["doc_id"] is None]
+    assert [(r["component_id"], r["kept"]) for r in unnamed] == [(None, True)]
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows if r["doc_id"] is not None)
+    assert near_dup.near_duplicates(none).count() == 0
+
+
+def test_circulant_signature_estimates_similarity():
+    table = near_dup.permutation_table(512)
+    rng = np.random.default_rng(0)
+    pool = rng.choice(near_dup.UNIVERSE, 300, replace=False)
+    a, b = pool[:250], pool[50:]
+    same = (near_dup.signature(a, table) == near_dup.signature(b, table)).mean()
+    assert abs(same - 200 / 300) < 0.1
+
+
+def test_secrets_equal_brute_force_and_ledger_skips_seen(spark, docs, none, tmp_path):
+    versions = docs.selectExpr("doc_id AS path", "text")
+    found = secrets.scan_secrets(versions, str(tmp_path / "ledger")).collect()
+    texts = collections.Counter((i, t) for i, t, _, _ in CASES)
+    assert len(found) == len(CASES)
+    for row in found:
+        counts = secrets.brute_force(dict(texts.keys()).get(row["path"]))[:3]
+        kinds = collections.Counter(f["kind"] for f in row["found"])
+        assert tuple(kinds[k] for k in ("assign", "access", "hex")) == counts
+    ledger = secrets.Ledger(spark, str(tmp_path / "ledger"))
+    assert ledger.update(versions).count() == 0
+    newer = (*secrets.RULES[:-1], secrets.Rule("hub_token", 2, rb"gh[pousr]_[A-Za-z0-9]{36,}", 0, 40, b"gh"))
+    assert {r["rule"] for r in ledger.update(versions, newer).collect()} == {"hub_token@2"}
+    more = versions.union(spark.createDataFrame([(99, "token: zzzzzzz")], "path bigint, text string"))
+    assert {r["blob"] for r in ledger.update(more, newer).collect()} == {r["blob"] for r in ledger.report(more).filter("path = 99").collect()}
+    assert secrets.scan_secrets(none.selectExpr("doc_id AS path", "text"), str(tmp_path / "other")).count() == 0
+
+
+def test_secret_places_are_code_points():
+    text = "é" * 7 + 'Api_Key" : "abc.def" AKIA' + "A" * 16 + " KEY token=short"
+    hits = secrets.find(text.encode(), secrets.BASE_RULES, [re.compile(r.pattern) for r in secrets.BASE_RULES])
+    assert {(k, text[s:e]) for k, _, s, e in hits} == {("assign", 'Api_Key" : "abc.def'), ("access", "AKIA" + "A" * 16)}
+
+
+def labels_for(spark, texts_labels):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts_labels)], "doc_id bigint, text string")
+    marks = [(i, y, y) for i, (_, y) in enumerate(texts_labels)] + [(None, 1, 1), (5, None, None), (10**9, 1, 0)]
+    return docs, spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+
+
+def held_out_accuracy(scored, texts_labels, parts, fold):
+    rows = [(r["score"] >= 0.3, texts_labels[r["doc_id"]][1]) for r in scored.collect()]
+    kept = [zlib.crc32(str(i).encode()) % parts == fold for i in range(len(rows))]
+    assert all(0 <= r["score"] <= 1 for r in scored.collect())
+    return np.mean([(p == bool(y)) for (p, y), k in zip(rows, kept) if k])
+
+
+def test_quality_ranks_held_out_texts(spark, docs, none):
+    data = [(prose(i, 60) if i % 3 else " ".join(w.upper() + "###" for w in prose(i, 60).split()), int(i % 3 > 0)) for i in range(300)]
+    frame, marks = labels_for(spark, data)
+    model = quality.learn(frame, marks, train_fold(5, 0))
+    assert held_out_accuracy(quality.score_quality(frame, model), data, 5, 0) > 0.95
+    hard = quality.score_quality(docs, model)
+    assert hard.count() == len(CASES) and hard.filter("score IS NULL").count() == 0
+    assert quality.score_quality(none, model).count() == 0
+    nothing = quality.learn(frame, marks.limit(0), train_fold(5, 0))
+    assert quality.score_quality(frame, nothing).filter("score >= 0.3").count() == len(data)
+
+
+def test_toxicity_ranks_held_out_texts(spark, docs, none):
+    bad = ["vile", "wretch", "oaf", "vilest"]
+    rng = np.random.default_rng(4)
+    data = []
+    for i in range(400):
+        words = prose(i, 60).split()
+        if i % 5 == 0:
+            for at in rng.choice(60, 4, replace=False):
+                words[at] = bad[rng.integers(4)]
+        data.append((" ".join(words), int(i % 5 == 0)))
+    frame, marks = labels_for(spark, data)
+    scorer = toxicity.learn(frame, marks, train_fold(4, 2))
+    assert held_out_accuracy(toxicity.score_toxicity(frame, scorer), data, 4, 2) > 0.95
+    hard = toxicity.score_toxicity(docs, scorer)
+    assert hard.count() == len(CASES) and hard.filter("score IS NULL OR isnan(score)").count() == 0
+    assert toxicity.score_toxicity(none, scorer).count() == 0
+    nothing = toxicity.learn(frame, marks.limit(0), train_fold(4, 2))
+    assert toxicity.score_toxicity(frame, nothing).filter("score IS NULL OR isnan(score)").count() == 0
+
+
+def test_language_model_counts_and_normalises(docs, none):
+    learn = (docs["doc_id"] % 2 == 0)
+    rows = lm.score_texts(docs, learn).collect()
+    counts = collections.Counter()
+    for i, text, _, _ in CASES:
+        if i is not None and i % 2 == 0:
+            counts.update([*(text or "").encode().lower().split(), None])
+    total, distinct = sum(counts.values()), len(counts)
+    expected = collections.Counter()
+    for i, text, _, _ in CASES:
+        tokens = [*(text or "").encode().lower().split(), None]
+        base = sum(math.log10((counts[t] + 0.5) / (total + 0.5 * (distinct + 1))) for t in tokens)
+        expected[i, len(tokens), sum(counts[t] > 0 for t in tokens), total, round(base, 5)] += 1
+    found = collections.Counter(
+        (r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 5)) for r in rows
+    )
+    assert found == expected and all(r["score"] < 0 for r in rows)
+    assert lm.score_texts(none, learn).count() == 0
+    untaught = lm.score_texts(docs, docs["doc_id"] < -1).collect()
+    assert len(untaught) == len(CASES) and all(r["train_tokens"] == 0 and r["n_known"] == 0 for r in untaught)
+
+
+def test_language_model_probabilities_sum_to_one():
+    model = lm.LogBilinear(6, np.full(8, 1 / 8))
+    one, two, token = np.full(8, 3), np.full(8, 2), np.arange(8)
+    assert abs((10 ** model.log10_probabilities(token, one, two)).sum() - 1) < 1e-5
+
+
+def test_noise_contrastive_training_learns_a_cycle():
+    words = ["a", "b", "c", "d"] * 500
+    slices = [next(Reader().slices(pa.array([" ".join(words)])))]
+    hashes = np.unique(slices[0].hash)
+    counts = lm.Counts(2001, 5, 1, hashes, np.full(4, 500), np.arange(4), 4, 0)
+    model = lm.LogBilinear(4, counts.unigram())
+    trainer = lm.Trainer(model, 0)
+    for _ in range(300):
+        trainer.texts(slices[0], counts)
+    token, one, two, _, _ = lm.tokens(slices[0], counts)
+    assert 10 ** model.log10_probabilities(token, one, two)[2:-1].mean() > 0.9
+
+
+def test_rules_equal_brute_force(docs, none):
+    rows = rules.quality_rules(docs).collect()
+    expected = collections.Counter()
+    for i, text, _, _ in CASES:
+        text = text or ""
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+        seen, places = collections.Counter(zip(words, words[1:], words[2:])), set()
+        for at, window in enumerate(zip(words, words[1:], words[2:])):
+            if seen[window] > 1:
+                places |= {at, at + 1, at + 2}
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        n, repeated = len(words), len(places)
+        failed = n < 50 or 100 * repeated > 50 * n
+        symbols = sum(c in "#*$%&|<>" for c in text)
+        expected[i, n, sum(map(len, words)), symbols, len(lines) - len(set(lines)), repeated, failed] += 1
+    names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    assert collections.Counter(tuple(r[c] for c in names) for r in rows) == expected
+    assert not any(r["kept"] and r["base_failed"] for r in rows)
+    assert rules.quality_rules(none).count() == 0
+
+
+def test_divergent_text_is_rejected_and_usual_text_kept(spark):
+    rows = [(i, prose(i, 80), "en") for i in range(40)] + [(99, " ".join("%%%&&&" for _ in range(10)) + prose(3, 60).upper(), "en")]
+    kept = {r["doc_id"]: r["kept"] for r in rules.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert not kept.pop(99) and all(kept.values())
+
+
+def test_shards_are_permutations_that_grow_in_place(docs, none, spark):
+    rows = sharding.shard_records(docs, shards=3, bucket_bytes=500).collect()
+    assert collections.Counter((r["doc_id"], r["text"]) for r in rows) == collections.Counter((i, t) for i, t, _, _ in CASES)
+    slots = collections.defaultdict(list)
+    for r in rows:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert set(docs.columns) < set(rows[0].asDict())
+    assert sharding.shard_records(none).count() == 0
+    ids = spark.range(2000)
+    grown = ids.select(sharding.shard_of(ids["id"], 8).alias("a"), sharding.shard_of(ids["id"], 9).alias("b")).collect()
+    assert all(r["b"] in (r["a"], 8) for r in grown) and 100 < sum(r["b"] == 8 for r in grown) < 400
+    again = sharding.shard_records(docs, shards=3, bucket_bytes=500).collect()
+    place = lambda found: sorted((str(r["doc_id"]), str(r["text"]), r["shard"], r["slot"]) for r in found)
+    assert place(again) == place(rows)
+
+
+def test_benchmark_passages_are_found_and_others_not(spark, docs, none):
+    items = [(1, prose(50, 40)), (2, "two words"), (3, None), (4, ""), (5, prose(51, 25)), (1, prose(50, 40))]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    texts = [
+        (100, prose(60, 300) + " " + items[0][1].upper() + "\n" + prose(61, 300)),
+        (101, "start Two\tWords end"),
+        (102, prose(62, 100) + " " + " ".join(items[4][1].split()[:12]) + " " + prose(63, 100)),
+        (103, items[4][1]),
+        (None, items[4][1]),
+    ]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    found = contamination.contaminated(frame, benchmark).collect()
+    assert collections.Counter((r["doc_id"], r["item_id"]) for r in found) == {(100, 1): 2, (101, 2): 1, (103, 5): 1, (None, 5): 1}
+    assert all(r["similarity"] == 1 and r["hamming"] == 0 for r in found)
+    assert {r["first_word"] for r in found if r["doc_id"] == 100} == {300}
+    assert contamination.contaminated(docs, benchmark).count() == 0
+    assert contamination.contaminated(none, benchmark).count() == 0
+    assert contamination.contaminated(frame, benchmark.limit(0)).count() == 0
+
+
+def test_every_fingerprint_within_the_radius_is_a_candidate():
+    items = contamination.Items(list(range(200)), [prose(i, 40) for i in range(200)])
+    rng = np.random.default_rng(2)
+    for item in range(0, 200, 10):
+        flips = rng.choice(64, contamination.RADIUS, replace=False)
+        other = items.prints[item] ^ np.bitwise_or.reduce(np.uint64(1) << flips.astype(np.uint64))
+        _, found = items.candidates(40, np.array([other]))
+        assert item in found
+
+
+def test_mixing_repeats_by_poisson_counts(spark, docs, none):
+    rows = mixing.mix_sources(docs).collect()
+    ids = {(i, t) for i, t, _, _ in CASES}
+    assert {(r["doc_id"], r["text"]) for r in rows} <= ids and set(rows[0].asDict()) == {*docs.columns, "copy"}
+    assert mixing.mix_sources(none).count() == 0
+    many = spark.range(20000).selectExpr("id AS doc_id", "IF(id % 10 = 0, 'rare', 'usual') AS source")
+    mixed = mixing.mix_sources(many, {"rare": 0.5, "usual": 0.5}).groupBy("source").count().collect()
+    assert all(abs(r["count"] - 10000) < 500 for r in mixed)
+    lots = mixing.mix_sources(many.filter("doc_id < 50"), {"rare": 1.0}, size=20.0).groupBy("doc_id").count().collect()
+    assert len(lots) == 5 and abs(sum(r["count"] for r in lots) - 1000) < 150
+
+
+def test_poisson_inversion_is_exact(spark):
+    for mean in (0.3, 1.0, 7.5, 16.0):
+        us = [k / 50 for k in range(50)]
+        frame = spark.createDataFrame([(u,) for u in us], "u double")
+        from pyspark.sql import functions as F
+
+        found = [r["k"] for r in frame.select(mixing.poisson(F.col("u"), F.lit(mean)).alias("k")).collect()]
+        expected = []
+        for u in us:
+            k, p = 0, math.exp(-mean)
+            below = p
+            while u >= below:
+                k += 1
+                p *= mean / k
+                below += p
+            expected.append(k)
+        assert found == expected
+
+
+def test_fuzzy_lines_keep_one_of_each_group(spark, docs, none):
+    line, other = prose(70, 30), prose(71, 30)
+    near = line.replace("w", "v", 1)
+    rows = [
+        (1, f"{line}\n\n{other}"), (2, f"  {line}\t\nown words here"), (3, near), (4, "x\nx\n \nx"), (5, None), (6, ""),
+        (None, line), (7, prose(72, 40) + "\n" + "p" * 5000),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in fuzzy_lines(frame).collect()}
+    assert found[1] == (rows[0][1], 2, 0)
+    assert found[2] == ("own words here", 2, 1)
+    assert found[3] == ("", 1, 1)
+    assert found[4] == ("x\n ", 3, 2)
+    assert found[5] == (None, 0, 0) and found[6] == ("", 0, 0) and found[None] == (line, 1, 0)
+    assert found[7][2] == 0
+    assert fuzzy_lines(docs).count() == len(CASES) and fuzzy_lines(none).count() == 0
