@@ -53,6 +53,29 @@ def scan_json(spark, sf):
     return scan(spark, "json", folder, SCHEMAS["orders"], multiLine=False)
 
 
+@query(
+    "scan_geojson",
+    "SELECT c_custkey, c_name, CAST(c_nationkey AS DOUBLE) AS longitude, CAST(c_acctbal AS DOUBLE) AS latitude FROM customer",
+)
+def scan_geojson(spark, sf):
+    """A point feature for each customer, one a line, written and read back."""
+    folder = f"{scratch(spark)}/customers.geojson"
+    place = F.array(F.col("c_nationkey").cast("double"), F.col("c_acctbal").cast("double"))
+    load(spark, sf, "customer").select(
+        F.lit("Feature").alias("type"),
+        F.struct("c_custkey", "c_name").alias("properties"),
+        F.struct(F.lit("Point").alias("type"), place.alias("coordinates")).alias("geometry"),
+    ).write.json(folder)
+    schema = "type string, properties struct<c_custkey: bigint, c_name: string>, geometry struct<type: string, coordinates: array<double>>"
+    features = scan(spark, "geojson", folder, schema, multiLine=False)
+    return features.select(
+        "properties.c_custkey",
+        "properties.c_name",
+        F.col("geometry.coordinates")[0].alias("longitude"),
+        F.col("geometry.coordinates")[1].alias("latitude"),
+    )
+
+
 @query("ingest_json", SQL_MENU_LINES)
 def ingest_json(spark, sf):
     """Nested sales from JSON files, menu back to text as the source database stores it, then exploded."""
