@@ -64,7 +64,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.job in ("raw", "dimensions"):
         if args.landing:
             def fetch(name):
-                return read_landing(spark, args.landing, name, jobs.effective_loadtype(name, args.loadtype), args.day)
+                loadtype = jobs.effective_loadtype(name, args.loadtype)
+                return read_landing(spark, args.landing, name, loadtype, args.day, runtype=args.runtype)
         else:
             fetch = jobs.database_fetch(spark, database())
         if args.job == "raw":

@@ -94,8 +94,16 @@ def input_path(root: str, file_name: str, runtype: str = "prod") -> str:
     return f"{area(root, runtype)}/{LAYER_FOLDERS['input']}/{file_name}"
 
 
-def read_landing(spark: SparkSession, root: str, name: str, loadtype: str, day: str | None = None, schema=None):
-    return scan(spark, "csv", landing_path(root, name, loadtype, day), schema)
+def read_landing(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    loadtype: str,
+    day: str | None = None,
+    schema=None,
+    runtype: str = "prod",
+) -> DataFrame:
+    return scan(spark, "csv", landing_path(root, name, loadtype, day, runtype), schema)
 
 
 def lake_table(root: str, name: str, runtype: str = "prod") -> LakeTable:

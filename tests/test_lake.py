@@ -147,6 +147,18 @@ def test_paths():
             bad()
 
 
+def test_landed_files_of_a_run_type(spark, tmp_path):
+    for runtype, value in (("prod", 1), ("dev", 2)):
+        path = lake.landing_path(str(tmp_path), "dim_item", "delta", "2025-11-10", runtype)
+        spark.range(value, value + 1).write.option("header", True).csv(path)
+    read = [
+        lake.read_landing(spark, str(tmp_path), "dim_item", load, "2025-11-10", "id bigint", runtype).collect()[0].id
+        for runtype in ("prod", "dev")
+        for load in ("full", "delta")
+    ]
+    assert read == [1, 1, 2, 2]
+
+
 @pytest.fixture
 def numbers(spark, tmp_path):
     return lake.LakeTable(str(tmp_path), "raw", "numbers")
