@@ -4,23 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.components import components
 from larder.llm.stages import stored
 
+Expand = Callable[[Column], Column]
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+
+def _as_is(column: Column) -> Column:
+    return column
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, expand: Expand) -> DataFrame:
     """Pairs (a, b) whose full sets have ``100 * shared >= percent * united``."""
-    a = sets.select(F.col("_id").alias("_ia"), F.col("_set").alias("_sa"))
-    b = sets.select(F.col("_id").alias("_ib"), F.col("_set").alias("_sb"))
+    a = sets.select(F.col("_id").alias("_ia"), F.col("_set").alias("_sa"), F.col("_n").alias("_na"))
+    b = sets.select(F.col("_id").alias("_ib"), F.col("_set").alias("_sb"), F.col("_n").alias("_nb"))
     joined = pairs.join(a, F.col("a") == F.col("_ia")).join(b, F.col("b") == F.col("_ib"))
-    shared = F.size(F.array_intersect("_sa", "_sb"))
-    return joined.filter(100 * shared >= percent * (F.size("_sa") + F.size("_sb") - shared)).select("a", "b")
+    shared = F.size(F.array_intersect(expand(F.col("_sa")), expand(F.col("_sb"))))
+    return joined.filter((100 + percent) * shared >= percent * (F.col("_na") + F.col("_nb"))).select("a", "b")
 
 
-def _apart_pairs(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _apart_pairs(groups: DataFrame, sets: DataFrame, percent: int, expand: Expand) -> DataFrame:
     """Pairs (a, b) of one group, in different components, that may reach the similarity.
 
     ``groups`` has (leader, id, n, component, home): home is the leader's component. Members differ from
@@ -34,6 +40,7 @@ def _apart_pairs(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     mine = sets.select(F.col("_id").alias("_ia"), F.col("_set").alias("_sa"))
     head = sets.select(F.col("_id").alias("_ib"), F.col("_set").alias("_sb"))
     deltas = groups.join(mine, F.col("id") == F.col("_ia")).join(head, F.col("leader") == F.col("_ib"))
+    deltas = deltas.withColumn("_sa", expand(F.col("_sa"))).withColumn("_sb", expand(F.col("_sb")))
     delta = F.concat(F.array_except("_sa", "_sb"), F.array_except("_sb", "_sa"))
     deltas = deltas.select("leader", "id", "n", "component", "home", delta.alias("delta"))
     deltas = stored(deltas.withColumn("d", F.size("delta")))
@@ -79,21 +86,25 @@ def _apart_pairs(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return left.join(right, met & (F.col("ca") != F.col("cb")) & fits).select("a", "b").distinct()
 
 
-def links(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+def links(
+    buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, expand: Expand = _as_is
+) -> DataFrame:
     """Edges (a, b) that connect whatever pairs of a shared bucket with Jaccard ``percent`` or more connect.
 
-    ``buckets`` has (bucket, id). ``sets_of`` gives (_id, _set), distinct hashes, for a table of ids. Members of
-    a bucket are first compared with one leader, the member in most shared buckets, which is near the
-    middle of a group of near copies. Only pairs of one bucket whose members are still in different
+    ``buckets`` has (bucket, id). ``sets_of`` gives (_id, _set), distinct hashes, for a table of ids; where
+    ``expand`` is given, ``_set`` is a shorter form from which it makes that set. Members of a bucket are
+    first compared with one leader, the member in most shared buckets, which is near the middle of a group
+    of near copies. Only pairs of one bucket whose members are still in different
     components, and whose differences from their leader allow the similarity, are then compared.
     """
     ends = buckets.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     shared = stored(ends.filter("first <> last").select(F.col("bucket").alias("_b")))
     several = buckets.join(shared, F.col("bucket") == F.col("_b"), "left_semi").select("bucket", "id").distinct()
     several = stored(several)
-    sets = stored(sets_of(several.select("id").distinct()))
+    sets = sets_of(several.select("id").distinct())
+    sets = stored(sets.withColumn("_n", F.size(expand(F.col("_set")))))
     known = several.groupBy(F.col("id").alias("_d")).agg(F.count("*").alias("degree"))
-    sizes = sets.select("_id", F.size("_set").alias("n")).join(known, F.col("_id") == F.col("_d")).drop("_d")
+    sizes = sets.select("_id", F.col("_n").alias("n")).join(known, F.col("_id") == F.col("_d")).drop("_d")
     sizes = stored(sizes)
     members = stored(several.join(sizes, F.col("id") == F.col("_id")).select("bucket", "id", "n", "degree"))
     heads = members.groupBy("bucket").agg(F.min(F.struct(-F.col("degree"), "id", "n")).alias("h"))
@@ -101,7 +112,7 @@ def links(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent
     led = members.join(heads, F.col("bucket") == F.col("_b")).filter(F.col("id") != F.col("leader"))
     led = stored(led.select("leader", "id", "n", "nb").distinct())
     stars = led.filter(100 * F.least("n", "nb") >= percent * F.greatest("n", "nb"))
-    edges = stored(_verified(stars.select(F.col("leader").alias("a"), F.col("id").alias("b")), sets, percent))
+    edges = stored(_verified(stars.select(F.col("leader").alias("a"), F.col("id").alias("b")), sets, percent, expand))
     joined = stored(components(edges))
 
     # Groups of one leader whose other members are in several components.
@@ -112,5 +123,5 @@ def links(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent
     split = named.groupBy(F.col("leader").alias("_l")).agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     split = stored(split.filter("lo <> hi").select("_l"))
     groups = stored(named.join(split, F.col("leader") == F.col("_l"), "left_semi"))
-    pairs = stored(_apart_pairs(groups, sets, percent))
-    return stored(edges.union(_verified(pairs, sets, percent)))
+    pairs = stored(_apart_pairs(groups, sets, percent, expand))
+    return stored(edges.union(_verified(pairs, sets, percent, expand)))
