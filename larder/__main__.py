@@ -13,17 +13,17 @@ from pyspark.sql import SparkSession
 
 from larder.plans import jobs
 from larder.plans.registry import PRODUCTS
-from larder.sources.jdbc import Database
+from larder.sources.jdbc import Database, hash_buckets
 from larder.sources.lake import read_landing
 from larder.tables import PUBLISHED, SEEDED
 
 
-def database() -> Database:
+def database(splits: dict | None = None) -> Database:
     keys = ("url", "user", "password", "driver")
     given = {k: os.environ.get(f"LARDER_JDBC_{k.upper()}") for k in keys}
     if not given["url"]:
         raise SystemExit("LARDER_JDBC_URL is not set")
-    return Database({k: v for k, v in given.items() if v})
+    return Database({k: v for k, v in given.items() if v}, splits or {})
 
 
 def parser() -> argparse.ArgumentParser:
@@ -39,6 +39,10 @@ def parser() -> argparse.ArgumentParser:
     sub = top.add_subparsers(dest="job", required=True)
     raw = sub.add_parser("raw", parents=[shared, load], help="load one raw table")
     raw.add_argument("--table", choices=SEEDED, required=True)
+    parallel = raw.add_mutually_exclusive_group()
+    parallel.add_argument("--part", action="append", help="SQL condition of one of several reads, which together cover all rows once")
+    parallel.add_argument("--hash", help="SQL of a non-negative number that deals rows to --parts reads")
+    raw.add_argument("--parts", type=int, default=16, help="reads for --hash")
     sub.add_parser("dimensions", parents=[shared, load], help="load all dimensions")
     enrich = sub.add_parser("enrich", parents=[shared], help="derive one product")
     enrich.add_argument("--table", choices=tuple(PRODUCTS), required=True)
@@ -53,6 +57,13 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def splits(args: argparse.Namespace) -> dict[str, list[str]]:
+    """Parallel reads asked for on the command line."""
+    if args.job != "raw" or not (args.part or args.hash):
+        return {}
+    return {args.table: args.part or hash_buckets(args.hash, args.parts)}
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     # Times without a zone are UTC; dimension loads run side by side in fair pools.
@@ -63,11 +74,11 @@ def main(argv: list[str] | None = None) -> None:
     target = jobs.Lake(spark, args.root, args.runtype)
     if args.job in ("raw", "dimensions"):
         if args.landing:
-            def fetch(name):
+            def fetch(name, start=None, end=None):
                 loadtype = jobs.effective_loadtype(name, args.loadtype)
                 return read_landing(spark, args.landing, name, loadtype, args.day, runtype=args.runtype)
         else:
-            fetch = jobs.database_fetch(spark, database())
+            fetch = jobs.database_fetch(spark, database(splits(args)))
         if args.job == "raw":
             jobs.load_raw(target, args.table, fetch, args.loadtype)
         else:

@@ -19,13 +19,15 @@ from larder.operators.upsert import upsert
 from larder.plans.registry import derive, sources_of
 from larder.sources import lake
 from larder.sources.files import scan
-from larder.sources.jdbc import Database
-from larder.streaming.incremental import change_window, last_loaded
+from larder.sources.jdbc import Database, Window
+from larder.streaming.incremental import bound_text, change_window, last_loaded
 from larder.tables import DIMENSIONS, PUBLISHED, SEEDED, TABLES, table
 
 log = logging.getLogger(__name__)
 
-Fetch = Callable[[str], DataFrame]
+#: Rows of a table, given its name and the bounds of its change window, each of which may be None. A source
+#: may return more than the window holds, but all of it.
+Fetch = Callable[[str, object, object], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -45,7 +47,13 @@ class Lake:
 
 
 def database_fetch(spark: SparkSession, database: Database) -> Fetch:
-    return lambda name: database.read(spark, table=name)
+    """Reads from the database, which evaluates the change window itself."""
+
+    def fetch(name: str, start=None, end=None) -> DataFrame:
+        column, bounds = table(name).change_column, (bound_text(spark, start), bound_text(spark, end))
+        return database.read(spark, table=name, window=Window(column, *bounds) if column else None)
+
+    return fetch
 
 
 def merge_into(target: Lake, name: str, changes: DataFrame, update=None) -> lake.Version:
@@ -71,13 +79,15 @@ def load_raw(target: Lake, name: str, fetch: Fetch, loadtype: str = "full", unti
     """Extract, clean and store one raw table.
 
     Only tables marked incremental are cut to the change window above the stored high-water mark of
-    their change column; all others are fetched whole.
+    their change column; all others are fetched whole. The window goes to the source, and is applied to
+    what it returns.
     """
     spec, loadtype = table(name), effective_loadtype(name, loadtype)
-    source = fetch(name)
+    start = end = None
     if loadtype == "delta" and spec.incremental:
-        mark = last_loaded(target.read(name), spec.change_column) if target.has(name) else None
-        source = change_window(source, spec.change_column, mark, F.current_timestamp() if until is None else until)
+        start = last_loaded(target.read(name), spec.change_column) if target.has(name) else None
+        end = F.current_timestamp() if until is None else until
+    source = change_window(fetch(name, start, end), spec.change_column, start, end)
     # Of rows with one key the latest stays, then the first by its other columns, so a rerun repeats it.
     latest = [F.desc(spec.change_column)] if spec.change_column else []
     others = [c for c in source.columns if c not in spec.rules.unique_by and c != spec.change_column]

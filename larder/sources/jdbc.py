@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,23 +26,64 @@ class Split:
         }
 
 
+@dataclass(frozen=True)
+class Window:
+    """Rows with ``start < column <= end``; bounds are timestamp text, a missing one is open."""
+
+    column: str
+    start: str | None = None
+    end: str | None = None
+
+    def conditions(self) -> list[str]:
+        bounds = [(">", self.start), ("<=", self.end)]
+        return [f"{self.column} {sign} TIMESTAMP '{bound}'" for sign, bound in bounds if bound is not None]
+
+
+def hash_buckets(expression: str, parts: int) -> list[str]:
+    """Conditions that deal rows to ``parts`` reads by a non-negative whole number, say a hash the database offers.
+
+    Rows without the number are in the first part.
+    """
+    rest = f"MOD({expression}, {parts})"
+    return [f"{rest} = 0 OR {rest} IS NULL", *[f"{rest} = {i}" for i in range(1, parts)]]
+
+
 @dataclass(frozen=True)
 class Database:
-    """``connection`` holds url, user, password, driver; ``splits`` a ``Split`` per table to read in parallel."""
+    """``connection`` holds url, user, password, driver.
+
+    ``splits`` tells for a table how to read it in parallel: a ``Split``, or a list of conditions in the
+    database's SQL, one read each, which must cover every row once. Text keys need the latter.
+    """
 
     connection: Mapping[str, str] = field(repr=False)
-    splits: Mapping[str, Split] = field(default_factory=dict)
+    splits: Mapping[str, Split | Sequence[str]] = field(default_factory=dict)
 
-    def read_options(self, table: str | None = None, query: str | None = None) -> dict[str, str]:
-        """A query goes to the database as a sub-select, so that it is evaluated there."""
+    def relation(self, table: str | None = None, query: str | None = None, window: Window | None = None) -> str:
+        """What to read; a query, or a table's window, is a sub-select, so that the database evaluates it."""
         if not (table or query):
             raise ValueError("a JDBC read needs a table or a query")
-        relation = f"({query}) AS tmp" if query else table
+        conditions = window.conditions() if window else []
+        if conditions and not query:
+            query = f"SELECT * FROM {table} WHERE {' AND '.join(conditions)}"
+        return f"({query}) AS tmp" if query else table
+
+    def read_options(
+        self, table: str | None = None, query: str | None = None, window: Window | None = None
+    ) -> dict[str, str]:
         split = self.splits.get(table) if table and not query else None
-        return {**self.connection, "dbtable": relation, **(split.options() if split else {})}
+        options = {**self.connection, "dbtable": self.relation(table, query, window)}
+        return {**options, **split.options()} if isinstance(split, Split) else options
 
-    def read(self, spark: SparkSession, table: str | None = None, query: str | None = None) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.read_options(table, query)).load()
+    def read(
+        self, spark: SparkSession, table: str | None = None, query: str | None = None, window: Window | None = None
+    ) -> DataFrame:
+        split = self.splits.get(table) if table and not query else None
+        if split is None or isinstance(split, Split):
+            return spark.read.format("jdbc").options(**self.read_options(table, query, window)).load()
+        properties = {k: v for k, v in self.connection.items() if k != "url"}
+        relation = self.relation(table, query, window)
+        return spark.read.jdbc(self.connection["url"], relation, predicates=list(split), properties=properties)
 
     def write_options(self, table: str, schema: str | None = None) -> dict[str, str]:
         return {**self.connection, "dbtable": f"{schema}.{table}" if schema else table}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, TimestampNTZType
 
@@ -42,3 +42,11 @@ def high_water_mark(df: DataFrame, column: str = "ingested_at") -> DataFrame:
 
 def last_loaded(df: DataFrame, column: str = "ingested_at"):
     return high_water_mark(df, column).first()["high_water_mark"]
+
+
+def bound_text(spark: SparkSession, value) -> str | None:
+    """A bound as timestamp text in the session's time zone, for a source that takes the window as SQL."""
+    if value is None:
+        return None
+    value = value if isinstance(value, Column) else F.lit(value)
+    return spark.range(1).select(value.cast("string").alias("bound")).first()["bound"]

@@ -14,7 +14,7 @@ from larder import __main__ as cli
 from larder.plans import jobs
 from larder.sources import delta, lake
 from larder.sources.files import scan, write_mode
-from larder.sources.jdbc import Database, Split
+from larder.sources.jdbc import Database, Split, Window, hash_buckets
 from larder.streaming.incremental import change_window, last_loaded
 from larder.tables import PUBLISHED, SEEDED, TABLES, table
 from tests.shop import SCHEMAS, build, frames
@@ -79,6 +79,10 @@ class Recorder:
         return None
 
 
+    def jdbc(self, url, relation, predicates, properties):
+        return {"url": url, "dbtable": relation, "predicates": predicates, **properties}
+
+
 class FakeSpark:
     def __init__(self):
         self.read = Recorder([])
@@ -98,6 +102,32 @@ def test_jdbc_reads():
     assert "jdbc:x" not in repr(db) and "password" not in repr(db)
 
 
+def test_jdbc_window_is_a_sub_select():
+    db = Database(BASE, {"fact_sales": Split("order_no", 0, 100, 8)})
+    read = lambda *bounds: db.read(FakeSpark(), table="fact_sales", window=Window("order_ts", *bounds))
+    both = read("2025-11-10 00:00:00", "2025-11-11 00:00:00")
+    assert both["dbtable"] == (
+        "(SELECT * FROM fact_sales WHERE order_ts > TIMESTAMP '2025-11-10 00:00:00'"
+        " AND order_ts <= TIMESTAMP '2025-11-11 00:00:00') AS tmp"
+    )
+    assert both["numPartitions"] == "8"
+    assert read(None, "2025-11-11 00:00:00")["dbtable"].endswith("WHERE order_ts <= TIMESTAMP '2025-11-11 00:00:00') AS tmp")
+    assert read()["dbtable"] == "fact_sales"
+
+
+def test_jdbc_reads_by_conditions():
+    parts = hash_buckets("crc32(order_id)", 3)
+    assert parts == ["MOD(crc32(order_id), 3) = 0 OR MOD(crc32(order_id), 3) IS NULL", "MOD(crc32(order_id), 3) = 1", "MOD(crc32(order_id), 3) = 2"]
+    db = Database(BASE, {"fact_sales": parts})
+    got = db.read(FakeSpark(), table="fact_sales", window=Window("order_ts", "2025-11-10"))
+    assert got == {**BASE, "dbtable": "(SELECT * FROM fact_sales WHERE order_ts > TIMESTAMP '2025-11-10') AS tmp", "predicates": parts}
+    args = cli.parser().parse_args(["raw", "--root", "r", "--loadtype", "full", "--table", "fact_sales", "--part", "a < 1", "--part", "a >= 1"])
+    assert cli.splits(args) == {"fact_sales": ["a < 1", "a >= 1"]}
+    args = cli.parser().parse_args(["raw", "--root", "r", "--loadtype", "full", "--table", "fact_sales", "--hash", "h", "--parts", "2"])
+    assert cli.splits(args) == {"fact_sales": hash_buckets("h", 2)}
+    assert cli.splits(cli.parser().parse_args(["dimensions", "--root", "r", "--loadtype", "full"])) == {}
+
+
 class RecordingDatabase(Database):
     """Collects written frames instead of sending them anywhere."""
 
@@ -249,7 +279,7 @@ LOAD_COLUMNS = {"ingested_at", "total_order_price_anomaly_flag"}
 def source_of(spark, data):
     built = frames(spark, data)
 
-    def fetch(name):
+    def fetch(name, start=None, end=None):
         df = built[name]
         texts = {f.name: F.date_format(f.name, "yyyy-MM-dd'T'HH:mm:ss") for f in df.schema if f.dataType.typeName() == "timestamp"}
         return df.withColumns(texts).drop(*LOAD_COLUMNS)
@@ -316,6 +346,26 @@ def test_delta_load_merges_changes_above_the_mark(spark, tmp_path):
     assert "/Sandbox/Raw/" in target.table("fact_sales").current
 
 
+def test_delta_load_hands_its_window_to_the_database(spark, tmp_path):
+    target, data, asked = jobs.Lake(spark, str(tmp_path)), build(orders=3), []
+    for i, order in enumerate(data["fact_sales"]):
+        order["order_ts"] = datetime(2025, 11, 10, 0, i)
+    source = source_of(spark, data)
+
+    class Asked(Database):
+        def read(self, spark, table=None, query=None, window=None):
+            asked.append((table, self.relation(table, query, window)))
+            return source(table)
+
+    fetch = jobs.database_fetch(spark, Asked(BASE))
+    for name, until in (("fact_sales", datetime(2025, 11, 11)), ("fact_sales", datetime(2025, 11, 12)), ("dim_outlet", None)):
+        jobs.load_raw(target, name, fetch, "delta", until=until)
+    first, second, outlets = [a[1] for a in asked]
+    assert first == "(SELECT * FROM fact_sales WHERE order_ts <= TIMESTAMP '2025-11-11 00:00:00') AS tmp"
+    assert "order_ts > TIMESTAMP '2025-11-10 00:02:00' AND order_ts <= TIMESTAMP '2025-11-12 00:00:00'" in second
+    assert outlets == "dim_outlet"
+
+
 def test_delta_load_of_a_dimension_merges_and_of_stock_replaces(spark, tmp_path):
     target, data = jobs.Lake(spark, str(tmp_path)), build(orders=5)
     fetch = source_of(spark, data)
@@ -340,10 +390,10 @@ def test_repeated_keys_keep_the_latest_change(spark, tmp_path):
 def test_failing_dimension_does_not_stop_the_others(spark, tmp_path):
     target, fetch = jobs.Lake(spark, str(tmp_path)), source_of(spark, build(orders=2))
 
-    def broken(name):
+    def broken(name, start, end):
         if name == "dim_item":
             raise RuntimeError("no such source")
-        return fetch(name)
+        return fetch(name, start, end)
 
     with pytest.raises(ExceptionGroup, match="dim_item"):
         jobs.load_dimensions(target, broken)
