@@ -1,9 +1,10 @@
 """Quality rules: counts on whole texts, and divergence from what is usual in a language.
 
-Each text gives two histograms: shares of character classes, and shares of common words and all others.
+Each text gives two histograms: shares of character classes, and of each common word among its common words.
 A language's reference is the mean histogram of its documents that are long enough. A document is rejected
 if the Jensen-Shannon distance (square root of the divergence in bits, 0 to 1) from its language's reference
-is above a bound, and only if the text is long enough for its histogram to mean something.
+is above a bound, and only if the text is long enough for its histogram to mean something. A text without
+common words is at distance 1 from a language that has them.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ COMMON_WORDS = (
 ).split()
 BLANK = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[^#*$%&|<>]+"
-LEAST_WORDS, LEAST_COMMON, LEAST_DOCS = 50, 30, 20
-MOST_CHARACTERS, MOST_WORDS = 0.33, 0.7
+LEAST_WORDS, LEAST_DOCS = 50, 20
+# A language with a smaller share of common words, in the mean, is not one of those listed.
+LEAST_COMMON = 0.1
+MOST_CHARACTERS, MOST_WORDS = 0.33, 0.68
 CLASSES = ("lower", "upper", "digit", "blank", "symbol", "other_ascii", "beyond_ascii")
 
 
@@ -117,12 +120,17 @@ def distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(total, F.lit(0.0)))
 
 
+def _among_common(words: str, common: Column) -> Column:
+    """Shares among common words, of which ``common`` is the sum."""
+    return F.transform(F.slice(words, 1, len(COMMON_WORDS)), lambda x: x / common)
+
+
 def quality_rules(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> DataFrame:
     """Counts, distances and verdict of every row.
 
     ``base_failed``: under 50 words, or more than half of the words in repeated three-word windows.
-    ``kept``: not ``base_failed``, and no distance above its bound. The distance of characters needs 50
-    words, that of words also 30 common ones; a language with under 20 such texts has no reference, and
+    ``kept``: not ``base_failed``, and no distance above its bound. Distances need 50 words; a language with
+    under 20 such texts has no reference, one with under a tenth of common words none for them, and the
     distances are null then. A null language is a language of its own. Null and empty texts have no words
     and fail. Repeated rows and ids are judged each; other columns are not looked at; an empty table
     gives an empty one.
@@ -130,12 +138,16 @@ def quality_rules(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     rows = stored(measured(docs, id_column, text_column, lang_column))
     usual = stored(references(rows))
     joined = rows.join(usual, F.col("lang").eqNullSafe(F.col("_lang")), "left")
+    joined = joined.withColumn("usual_common", 1 - F.col("usual_words")[len(COMMON_WORDS)])
     long = F.col("n_words") >= LEAST_WORDS
     joined = joined.withColumns(
         {
             "character_distance": F.when(long, distance(F.col("characters"), F.col("usual_characters"))),
             "word_distance": F.when(
-                long & (F.col("n_common") >= LEAST_COMMON), distance(F.col("words"), F.col("usual_words"))
+                long & (F.col("usual_common") >= LEAST_COMMON),
+                F.when(F.col("n_common") == 0, 1.0).otherwise(
+                    distance(_among_common("words", F.col("n_common") / F.col("n_words")), _among_common("usual_words", F.col("usual_common")))
+                ),
             ),
             "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
         }

@@ -372,3 +372,16 @@ def test_fuzzy_lines_keep_one_of_each_group(spark, docs, none):
     assert found[5] == (None, 0, 0) and found[6] == ("", 0, 0) and found[None] == (line, 1, 0)
     assert found[7][2] == 0
     assert fuzzy_lines(docs).count() == len(CASES) and fuzzy_lines(none).count() == 0
+
+
+def test_texts_of_another_language_and_without_common_words_are_rejected(spark):
+    def text(seed: int, common: str) -> str:
+        rng = np.random.default_rng(seed)
+        return " ".join(rng.choice(common.split()) if rng.random() < 0.3 else rng.choice(WORDS) for _ in range(150))
+
+    en, de = "the of and to in that is was for it", "der die und das von den zu mit sich des"
+    rows = [(i, text(i, en), "en") for i in range(60)] + [(100 + i, text(i, de), "de") for i in range(30)]
+    rows += [(i, prose(i, 100), "xx") for i in range(200, 230)] + [(900, text(900, de), "en"), (901, prose(901, 150), "en")]
+    found = rules.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    assert {r["doc_id"] for r in found if not r["kept"]} == {900, 901}
+    assert all(r["word_distance"] is None for r in found if 200 <= r["doc_id"] < 230)
