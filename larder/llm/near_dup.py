@@ -126,11 +126,16 @@ def near_duplicates(
         texts = source.join(ids, F.col("_id") == F.col("id"), "left_semi")
         return texts.mapInArrow(_shingle_sets(shingle_words), f"_id {id_type}, _set array<bigint>")
 
-    linked = components(links(buckets, sets, percent)).toDF("_vertex", "_component")
+    # Rows of one id are one document: through it, the classes of its texts are linked.
+    again = known.groupBy("_id").agg(F.min(F.xxhash64("_key")).alias("lo"), F.max(F.xxhash64("_key")).alias("hi"))
+    again = stored(again.filter("lo <> hi").select(F.col("_id").alias("_again")))
+    own = known.select("_id", F.col("_key").alias("_k")).join(again, F.col("_id") == F.col("_again"), "left_semi")
+    own = own.join(classes, F.col("_k") == F.col("_key")).filter("_id <> _rep").select("_id", "_rep").distinct()
+
+    linked = components(links(buckets, sets, percent).union(own)).toDF("_vertex", "_component")
 
     placed = classes.join(linked, F.col("_rep") == F.col("_vertex"), "left")
     placed = stored(placed.select(F.col("_key").alias("_ck"), F.coalesce("_component", "_rep").alias("_component")))
-    # One id may own several texts: such an id has the least component of its rows.
     result = sketches.drop("_bands").join(placed, F.col("_key") == F.col("_ck"), "left")
     component = F.when(F.col("_id").isNotNull(), F.coalesce("_component", "_id"))
     result = result.select(F.col("_id").alias(id_column), F.col("_n").alias("n_shingles"), component.alias("component_id"))

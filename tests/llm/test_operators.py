@@ -385,3 +385,13 @@ def test_texts_of_another_language_and_without_common_words_are_rejected(spark):
     found = rules.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
     assert {r["doc_id"] for r in found if not r["kept"]} == {900, 901}
     assert all(r["word_distance"] is None for r in found if 200 <= r["doc_id"] < 230)
+
+
+def test_texts_of_one_id_share_its_component(spark):
+    a, b = prose(90, 40), prose(91, 40)
+    for other in (5, 8):  # an id that is the least of one class, or of none
+        rows = [(3, a), (other, a), (other, b), (7, b), (9, prose(92, 40))]
+        found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+        assert collections.Counter((r["doc_id"], r["component_id"], r["kept"]) for r in found) == {
+            (3, 3, True): 1, (other, 3, False): 2, (7, 3, False): 1, (9, 9, True): 1,
+        }
