@@ -45,9 +45,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark; rows without id go only if an equal one holds a passage."""
-    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaks = stored(found.select("doc_id").distinct()).toDF("_leak")
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti").select(*COLUMNS)
+    # A row is known by its id, one without id by its text.
+    digest = F.when(F.col("doc_id").isNull(), F.sha2(F.col("text").cast("binary"), 256))
+    named = docs.select(F.struct("doc_id", digest.alias("digest")).alias("row"), "text")
+    found = contaminated(named, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_column="row")
+    leaks = stored(found.select("row.doc_id", "row.digest").distinct()).toDF("_leak", "_digest")
+    same = F.col("doc_id").eqNullSafe(F.col("_leak")) & digest.eqNullSafe(F.col("_digest"))
+    return docs.join(leaks, same, "left_anti").select(*COLUMNS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,3 +49,11 @@ def test_stages_handle_empty_and_null_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
         assert stage(spark, nulls, SF).count() <= 9
+
+
+def test_decontamination_of_rows_without_id_goes_by_their_text(spark):
+    passage = max((r["text"] or "" for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()), key=len)
+    texts = [(None, passage), (None, passage), (None, "clean"), (None, "clean"), (None, None), (1, "clean"), (2, passage)]
+    frame = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.decontamination_stage(spark, frame, SF).collect()
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in kept) == [("1", "clean"), ("None", "None"), ("None", "clean"), ("None", "clean")]
