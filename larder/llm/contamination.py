@@ -1,6 +1,6 @@
 """Benchmark passages in documents, by SimHash of item-sized windows.
 
-A window of a document has as many words as a benchmark item. Windows and items are bags of five-word
+A window of a document has as many words as a benchmark item; a shorter document is one window. Windows and items are bags of five-word
 shingles, weighted by how few items share a shingle. The SimHash of a bag has in each bit the sign of a
 weighted vote of its shingles. Fingerprints are cut into blocks; if two differ in at most ``RADIUS`` bits,
 then by the pigeonhole principle they differ in some block in at most ``RADIUS // BLOCKS`` bits, so looking
@@ -141,8 +141,9 @@ def window_matches(words: Words, items: Items, least: float) -> list[tuple[int,
             for n in lengths:
                 span = n - size + 1
                 held = places[_inside(own[places], items.own[n])]
-                if not len(held) or len(own) < span:
+                if not len(held):
                     continue
+                span = min(span, len(own))  # a text shorter than the items is one window
                 # Shingles that no item of this length has count against a window: similarity is at most held / all.
                 total, ours = np.zeros(len(own) + 1, np.int64), np.zeros(len(own) + 1, np.int64)
                 np.cumsum(weight, out=total[1:])
@@ -184,13 +185,14 @@ def _finder(sent, least: float):
             rows = []
             for words in reader.slices(batch.column(1)):
                 at = words.rows.start
-                rows += [(at + r, i, start, d, v) for r, i, start, d, v in window_matches(words, items, least)]
+                for r, i, start, d, v in window_matches(words, items, least):
+                    rows.append((at + r, i, start, d, v, min(items.lengths[i], int(words.counts[r]))))
             take = pa.array([r[0] for r in rows], pa.int64())
             columns = [
                 batch.column(0).take(take),
                 pa.array([items.ids[r[1]] for r in rows], pa.int64()),
                 *[pa.array([r[k] for r in rows], pa.int64()) for k in (2,)],
-                pa.array([items.lengths[r[1]] for r in rows], pa.int64()),
+                pa.array([r[5] for r in rows], pa.int64()),
                 pa.array([r[3] for r in rows], pa.int64()),
                 pa.array([r[4] for r in rows], pa.float64()),
             ]
@@ -227,7 +229,8 @@ def contaminated(
 
     Items go to all tasks in blocks of at most 20,000, so that a benchmark of any size is searched for in
     whole. Items that are null, empty or without words match nothing; an item of fewer than five words is
-    one shingle. Null and empty texts have no window; windows never reach beyond a text. Of equally
+    one shingle. Null and empty texts have no window; windows never reach beyond a text, and a text
+    of fewer words than an item is its window for it, with ``n_words`` its own. Of equally
     similar windows the first is returned. Repeated rows and items are matched each; rows with null ids
     appear with a null id; other columns are not looked at. An empty table of either kind gives an empty
     one.

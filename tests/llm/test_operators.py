@@ -395,3 +395,12 @@ def test_texts_of_one_id_share_its_component(spark):
         assert collections.Counter((r["doc_id"], r["component_id"], r["kept"]) for r in found) == {
             (3, 3, True): 1, (other, 3, False): 2, (7, 3, False): 1, (9, 9, True): 1,
         }
+
+
+def test_documents_shorter_than_an_item_are_found(spark):
+    words = prose(80, 55).split()
+    rows = [(k, " ".join(words[:-k] if k % 2 else words[k:])) for k in (1, 2, 3, 4, 5, 20)] + [(99, " ".join(words[:4]))]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
+    found = {r["doc_id"]: (r["n_words"], r["first_word"], r["similarity"]) for r in contamination.contaminated(frame, benchmark).collect()}
+    assert found == {k: (55 - k, 0, (51 - k) / 51) for k in (1, 2, 3, 4, 5)}
