@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import lm, quality, rules, secrets, sharding, toxicity
+from larder.llm import bpe, conversations, lm, quality, rules, secrets, sharding, toxicity
 from larder.llm.contamination import contaminated
 from larder.llm.lines import fuzzy_lines
 from larder.llm.mixing import mix_sources
@@ -141,3 +141,22 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_fuzzy_line_dedup")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return fuzzy_lines(table(spark, sf, "documents"))
+
+
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return conversations.repair_report(conversations.damaged(table(spark, sf, "conversations")))
+
+
+@query("op12_byte_bpe_round_trip")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_50k.json"))
+    encoded = bpe.encode_texts(table(spark, sf, "documents").select("doc_id", "text"), vocabulary).drop("text")
+    return bpe.decode_ids(encoded, vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

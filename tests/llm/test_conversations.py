@@ -1,0 +1,160 @@
+"""Conversation repair against a search over all edits, and against a plain version of the whole query."""
+
+import hashlib
+import random
+import zlib
+from functools import lru_cache
+
+import pytest
+
+pytest.importorskip("larder.llm")
+
+from larder.llm import conversations as c  # noqa: E402
+from larder.llm.queries import QUERIES  # noqa: E402
+
+
+def search(signs):
+    """(cost, audit) over all sequences of edits with at most three insertions, least cost and then least text first."""
+    n = len(signs)
+
+    @lru_cache(None)
+    def go(i, state, insertions):
+        found = [(0, "")] if i == n and state in "-a" else []
+        follow = lambda step, cost, edit: step and found.append((step[0] + cost, edit + step[1]))
+        nexts = [(r, r) for r, before in (("u", "-sa"), ("a", "u")) if state in before]
+        if i < n:
+            follow(go(i + 1, state, insertions), 2, "D")
+            initial, must_go, broken = signs[i]
+            if not must_go:
+                for role, to in nexts:
+                    step = go(i + 1, to, insertions)
+                    follow(step, 5 * broken, "K") if initial == role else follow(step, 1 + 5 * broken, "R")
+                if initial == "s" and state == "-":
+                    follow(go(i + 1, "s", insertions), 5 * broken, "K")
+        if insertions:
+            for _, to in nexts:
+                follow(go(i, to, insertions - 1), 5, "I")
+        return min(found, default=None)
+
+    return go(0, "-", 3)
+
+
+def test_alignment_equals_a_search_over_all_edits():
+    rng = random.Random(3)
+    for _ in range(4000):
+        signs = [(rng.choice("suauax") if rng.random() < 0.97 else "", rng.random() < 0.1, rng.random() < 0.2) for _ in range(rng.randrange(10))]
+        assert c.align(signs) == search(tuple(signs)), signs
+
+
+def test_long_conversations_align():
+    """Against the automaton's shortest way, whose cost needs no audit."""
+    rng = random.Random(5)
+    signs = [(rng.choice("ua") if rng.random() < 0.1 else "ua"[i % 2], rng.random() < 0.05, rng.random() < 0.05) for i in range(1500)]
+    far = 1 << 30
+    best = {"-": 0, "s": far, "u": far, "a": far}
+    inserted = lambda b: {**b, "u": min(b["u"], b["-"] + 5, b["s"] + 5, b["a"] + 5), "a": min(b["a"], b["u"] + 5, b["-"] + 10)}
+    best = inserted(best)
+    for initial, must_go, broken in signs:
+        after = {k: v + 2 for k, v in best.items()}
+        if not must_go:
+            for role, before in (("u", "-sa"), ("a", "u")):
+                for state in before:
+                    after[role] = min(after[role], best[state] + (initial != role) + 5 * broken)
+        best = inserted(after)
+    cost, audit = c.align(signs)
+    assert cost == min(best["-"], best["a"])
+    assert len(audit) - audit.count("I") == len(signs)
+
+
+def plain(rows, damage=True):
+    """The query's rows from (conv_id, turn, role, text), read off the contract line by line."""
+    text_of = lambda v: " " if v is None else str(v)
+    turns = {}
+    for conv, turn, role, text in rows:
+        held = turns.setdefault(conv, [])
+        role, text = text_of(role), text_of(text)
+        fault = zlib.crc32(f"{text_of(conv)}:{text_of(turn)}".encode()) % 20 if damage else 9
+        if fault == 0:
+            continue
+        text = "" if fault == 1 else "".join(x for x in text if x not in ".!?") if fault == 2 else text
+        held.extend([(turn, "user" if fault == 4 else role, text)] * (2 if fault == 3 else 1))
+    out = {}
+    for conv, held in turns.items():
+        held.sort(key=lambda t: (t[0] is not None, t[0] or 0))
+        seen, signs, counts = set(), [], [0, 0, 0]
+        for _, role, text in held:
+            body = text.strip(" \t\n\x0b\f\r")
+            fault = 0 if not body else 1 if (role, text) in seen else 2 if body[-1] not in ".!?" else None
+            seen.add((role, text))
+            if fault is not None:
+                counts[fault] += 1
+            signs.append((role[:1], fault in (0, 1), fault == 2))
+        numbers = {t for t, _, _ in held if t is not None}
+        gaps = max(numbers) - min(numbers) + 1 - len(numbers) if numbers else 0
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(held, held[1:], strict=False))
+        cost, audit = search(tuple(signs))
+        rest, lines, at = len(audit) - audit.count("D"), [], iter(held)
+        for edit in audit:
+            role, text = ("", "") if edit == "I" else next(at)[1:]
+            if edit == "D":
+                continue
+            lines.append(f"{role if edit == 'K' else ('user', 'assistant')[rest % 2]}:{text}")
+            rest -= 1
+        out[conv] = (gaps, *counts, illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+    return out
+
+
+def result(df):
+    return {r[0]: tuple(r)[1:] for r in df.collect()}
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_equals_the_plain_version(spark, sf):
+    rows = [tuple(r) for r in spark.read.parquet(f"/root/testdata/{sf}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert result(QUERIES["op11_conversation_repair"](spark, f"/root/testdata/{sf}")) == plain(rows)
+
+
+SCHEMA = "conv_id long, turn long, role string, text string, digest string, gone string, part long"
+
+
+def fixture(spark, rows):
+    return spark.createDataFrame([(*r, "x", "y", 7) for r in rows], SCHEMA)
+
+
+def test_nulls_ties_repeats_and_clashing_columns(spark):
+    rng = random.Random(11)
+    rows = [(None, None, None, None), (None, 3, "user", "Hi."), (99, None, "user", "A."), (99, None, "user", "A."), (98, 1, "", "t.")]
+    for conv in range(60):
+        for turn in range(rng.randrange(7)):
+            text = rng.choice(["Yes.", "No", "", None, " \t", "Why?", "Same.", "Long " * 50 + "!"])
+            rows.append((conv, turn if rng.random() < 0.9 else None, rng.choice(["user", "assistant", "system", None, "tool"]), text))
+    # Ties of one number have no order in the plain version: keep one row each, or equal rows.
+    rows = list({(r[0], r[1]): r for r in rows}.values()) + rows[:5]
+    found = result(c.repair_report(c.damaged(fixture(spark, rows))))
+    assert found == plain(sorted(rows, key=lambda r: (str(r[0]), r[1] is not None, r[1] or 0)))
+
+
+def test_repaired_turns_follow_the_grammar(spark):
+    turns = [(1, 0, "system", "S."), (1, 1, "user", "Q?"), (1, 2, "user", "Q?"), (1, 3, "user", "So."), (2, 0, "assistant", "cut"), (3, 0, "user", "A."), (3, 1, "user", "B.")]
+    whole = c.damaged(fixture(spark, turns), share=1 << 30)
+    audits = c.audit_conversations(whole)
+    assert {r.conv_id: r.audit for r in audits.collect()} == {1: "KKDR", 2: "D", 3: "KR"}
+    rows = [tuple(r) for r in c.repair_turns(whole, audits).sort("conv_id", "place").collect()]
+    assert rows == [
+        (1, 0, "K", "system", "S."), (1, 1, "K", "user", "Q?"), (1, 2, "R", "assistant", "So."),
+        (3, 0, "K", "user", "A."), (3, 1, "R", "assistant", "B."),
+    ]
+
+
+def test_empty_table_and_dropped_conversations(spark):
+    assert c.repair_report(c.damaged(fixture(spark, []))).count() == 0
+    dropped = next(i for i in range(1000) if zlib.crc32(f"{i}:0".encode()) % 20 == 0)
+    found = result(c.repair_report(c.damaged(fixture(spark, [(dropped, 0, "user", "Hi.")]))))
+    assert found == {dropped: (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())}
+
+
+def test_a_conversation_with_most_rows_streams(spark):
+    rows = [(1, k, "user" if k % 2 == 0 else "assistant", f"Text {k}.") for k in range(1200)]
+    found = result(c.repair_report(c.damaged(fixture(spark, rows))))
+    cost, audit = found[1][5], found[1][6]
+    assert cost > 0 and len(audit) - audit.count("I") >= 1100
