@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, conversations, lm, quality, rules, secrets, sharding, toxicity
+from larder.llm import bpe, conversations, lm, quality, rules, search, secrets, sharding, toxicity
 from larder.llm.contamination import contaminated
 from larder.llm.lines import fuzzy_lines
 from larder.llm.mixing import mix_sources
@@ -160,3 +160,40 @@ def op12(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+# Terms of a document are counted by (document, term); ids of the test tables are unique.
+RANKED_SQL = r"""
+WITH terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents WHERE text IS NOT NULL
+),
+counted AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM counted GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM sizes),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE text IS NOT NULL
+),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counted JOIN (SELECT DISTINCT term FROM wanted) USING (term), totals GROUP BY term, docs
+),
+hits AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total))) AS impact
+  FROM counted JOIN weights USING (term) JOIN sizes USING (doc_id), totals
+),
+scored AS (SELECT item_id, doc_id, sum(impact)::BIGINT AS score FROM wanted JOIN hits USING (term) GROUP BY ALL),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op13_ranked_search", RANKED_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return search.rank_documents(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
