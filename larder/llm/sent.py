@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any
 
 from pyspark import cloudpickle
@@ -9,20 +10,22 @@ from pyspark.sql import SparkSession
 
 
 class Sent:
-    """A broadcast value, pickled with its classes by value; ``value`` is built once per task.
+    """A broadcast value, pickled with its classes by value; ``value`` is built once per Python worker.
 
-    A plain broadcast pickles classes by reference, and its readers would have to import this package.
+    A plain broadcast pickles classes by reference, and its readers would have to import this package. Workers keep
+    broadcast values from task to task, so what is built from one is kept beside its bytes.
     """
 
     def __init__(self, spark: SparkSession, value: Any):
-        self._packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
-        self._value = None
+        self._packed = spark.sparkContext.broadcast({"packed": cloudpickle.dumps(value)})
 
     @property
     def value(self) -> Any:
-        if self._value is None:
-            self._value = cloudpickle.loads(self._packed.value)
-        return self._value
-
-    def __getstate__(self) -> dict:
-        return {"_packed": self._packed, "_value": None}
+        return self.made("value", lambda held: cloudpickle.loads(held["packed"]))
+
+    def made(self, name: str, make: Callable[[Any], Any]) -> Any:
+        """What ``make`` returned when this worker first asked for ``name``: something to reuse, the same each time."""
+        held = self._packed.value
+        if name not in held:
+            held[name] = make(held if name == "value" else self.value)
+        return held[name]
