@@ -46,6 +46,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_parser("dimensions", parents=[shared, load], help="load all dimensions")
     enrich = sub.add_parser("enrich", parents=[shared], help="derive one product")
     enrich.add_argument("--table", choices=tuple(PRODUCTS), required=True)
+    enrich.add_argument("--loadtype", choices=("full", "delta"), default="full", help="delta derives changed rows only, where it can")
     publish = sub.add_parser("publish", parents=[shared], help="write products to the database")
     publish.add_argument("--tables", nargs="+", choices=("all", *PUBLISHED), default=["all"])
     publish.add_argument("--mode", choices=("overwrite", "append"), default="overwrite")
@@ -84,7 +85,7 @@ def main(argv: list[str] | None = None) -> None:
         else:
             jobs.load_dimensions(target, fetch, args.loadtype)
     elif args.job == "enrich":
-        jobs.enrich(target, args.table)
+        jobs.enrich(target, args.table, args.loadtype)
     elif args.job == "publish":
         jobs.publish(target, database(), args.tables, args.mode)
     else:

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from larder.functions.menu import lines_to_json
 from larder.operators.clean import clean_table
 from larder.operators.upsert import upsert
+from larder.plans.changes import ROW_WISE, affected_keys, product_keys, rows_of
 from larder.plans.registry import derive, sources_of
-from larder.sources import lake
+from larder.sources import daily, lake
 from larder.sources.files import scan
 from larder.sources.jdbc import Database, Window
 from larder.streaming.incremental import bound_text, change_window, last_loaded
@@ -29,6 +30,9 @@ log = logging.getLogger(__name__)
 #: may return more than the window holds, but all of it.
 Fetch = Callable[[str, object, object], DataFrame]
 
+#: What a store returns: the new version, the days a merge wrote, or nothing for a whole write by days.
+Stored = lake.Version | list | None
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -39,11 +43,26 @@ class Lake:
     def table(self, name: str) -> lake.LakeTable:
         return lake.lake_table(self.root, name, self.runtype)
 
+    def days(self, name: str) -> daily.DayTable | None:
+        """Where a table partitioned by days is kept; None for one that is kept as a whole."""
+        column = table(name).day_column
+        return daily.DayTable(f"{self.table(name).folder}/days", column) if column else None
+
+    def has_days(self, name: str) -> bool:
+        days = self.days(name)
+        return days is not None and daily.exists(self.spark, days)
+
     def read(self, name: str) -> DataFrame:
-        return lake.read(self.spark, self.table(name))
+        """The table now; one that was stored before it was kept by days is read from its versions."""
+        return daily.read(self.spark, self.days(name)) if self.has_days(name) else lake.read(self.spark, self.table(name))
 
     def has(self, name: str) -> bool:
-        return lake.exists(self.spark, self.table(name))
+        return self.has_days(name) or lake.exists(self.spark, self.table(name))
+
+    def commit(self, name: str, df: DataFrame) -> Stored:
+        """Replace the whole table."""
+        days = self.days(name)
+        return daily.write(self.spark, days, df) if days else lake.commit(self.spark, self.table(name), df)
 
 
 def database_fetch(spark: SparkSession, database: Database) -> Fetch:
@@ -56,18 +75,19 @@ def database_fetch(spark: SparkSession, database: Database) -> Fetch:
     return fetch
 
 
-def merge_into(target: Lake, name: str, changes: DataFrame, update=None) -> lake.Version:
-    """Stage the changes, then merge them into the current table by its key."""
+def merge_into(target: Lake, name: str, changes: DataFrame, update=None) -> Stored:
+    """Stage the changes, then merge them into the current table by its key; by days, only touched ones are written."""
     staged = lake.stage(target.spark, target.table(name), changes)
-    merged = upsert(target.read(name), staged, table(name).key, update)
-    return lake.commit(target.spark, target.table(name), merged)
+    if target.has_days(name):
+        return daily.merge(target.spark, target.days(name), staged, table(name).key, update)
+    return target.commit(name, upsert(target.read(name), staged, table(name).key, update))
 
 
-def store(target: Lake, name: str, df: DataFrame, loadtype: str) -> lake.Version:
+def store(target: Lake, name: str, df: DataFrame, loadtype: str) -> Stored:
     """Full loads replace the table; others are merged by key where there is a table to merge into."""
     if loadtype != "full" and target.has(name):
         return merge_into(target, name, df)
-    return lake.commit(target.spark, target.table(name), df)
+    return target.commit(name, df)
 
 
 def effective_loadtype(name: str, loadtype: str) -> str:
@@ -75,7 +95,7 @@ def effective_loadtype(name: str, loadtype: str) -> str:
     return loadtype if table(name).incremental or name in DIMENSIONS else "full"
 
 
-def load_raw(target: Lake, name: str, fetch: Fetch, loadtype: str = "full", until=None) -> lake.Version:
+def load_raw(target: Lake, name: str, fetch: Fetch, loadtype: str = "full", until=None) -> Stored:
     """Extract, clean and store one raw table.
 
     Only tables marked incremental are cut to the change window above the stored high-water mark of
@@ -98,7 +118,7 @@ def load_raw(target: Lake, name: str, fetch: Fetch, loadtype: str = "full", unti
 
 def load_dimensions(
     target: Lake, fetch: Fetch, loadtype: str = "full", names: Iterable[str] = DIMENSIONS, at_once: int = 3
-) -> dict[str, lake.Version]:
+) -> dict[str, Stored]:
     """Load dimensions side by side as independent Spark jobs, each in a scheduler pool of its own.
 
     A failing table does not stop the others; all failures are raised together at the end.
@@ -116,15 +136,29 @@ def load_dimensions(
     return {n: f.result() for n, f in running.items()}
 
 
-def enrich(target: Lake, name: str, **options) -> lake.Version:
-    """Derive one product and replace it; the exploded order lines are derived before enriched sales.
+def written(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def enrich(target: Lake, name: str, loadtype: str = "full", **options) -> Stored:
+    """Derive one product; the exploded order lines are derived before enriched sales.
 
-    A product follows from its whole inputs in every load type, so nothing is left to merge or append.
+    A full load replaces the product. A delta load of a row-wise product (``plans.changes``) derives the rows whose
+    inputs were loaded after the product, and puts them in place by key; all others follow from their whole inputs.
+    Deleted inputs leave no trace to follow and need a full load.
     """
     if name == "fact_sales_enriched":
-        enrich(target, "fact_sales_items")
-    tables = lake.read_tables(target.spark, target.root, sources_of(name), target.runtype)
-    return lake.commit(target.spark, target.table(name), derive(name, tables, **options))
+        enrich(target, "fact_sales_items", loadtype)
+    tables = {n: target.read(n) for n in sources_of(name)}
+    if loadtype == "full" or name not in ROW_WISE or not target.has_days(name):
+        return target.commit(name, derive(name, tables, **options))
+    product = target.read(name)
+    mark = last_loaded(product)
+    changes = {n: df if mark is None else df.filter(F.col("ingested_at") > mark) for n, df in tables.items()}
+    keys = written(affected_keys(name, tables, changes, product), f"{target.table(name).folder}/delta/{lake.today()}/keys.parquet")
+    rows = lake.stage(target.spark, target.table(name), rows_of(name, tables, keys, **options))
+    return daily.replace(target.spark, target.days(name), product_keys(name, keys), rows)
 
 
 def publish(
@@ -160,5 +194,8 @@ def maintain(target: Lake, layer: str, names: Iterable[str] | None = None, file_
     chosen = list(names) if names else [n for n, t in TABLES.items() if t.layer == layer]
     present = [n for n in chosen if target.has(n)]
     for name in present:
-        lake.compact(target.spark, target.table(name), file_bytes)
+        if target.has_days(name):
+            daily.compact(target.spark, target.days(name))
+        else:
+            lake.compact(target.spark, target.table(name), file_bytes)
     return present

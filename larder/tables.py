@@ -24,6 +24,8 @@ class CleaningRules:
 
 @dataclass(frozen=True)
 class Table:
+    """``day_column`` is the time by whose days the stored table is partitioned; without one it is kept as a whole."""
+
     name: str
     layer: str
     key: tuple[str, ...]
@@ -34,6 +36,7 @@ class Table:
     seed_mode: str | None = None
     sources: tuple[str, ...] = ()
     publish_schema: str | None = None
+    day_column: str | None = None
 
 
 def _dimension(name: str, schema: str, **rules) -> Table:
@@ -48,8 +51,10 @@ def _dimension(name: str, schema: str, **rules) -> Table:
     )
 
 
-def _product(name: str, key: tuple[str, ...], publish_schema: str, *sources: str) -> Table:
-    return Table(name=name, layer="enrich", key=key, sources=sources, publish_schema=publish_schema)
+def _product(name: str, key: tuple[str, ...], publish_schema: str, *sources: str, day_column: str | None = None) -> Table:
+    return Table(
+        name=name, layer="enrich", key=key, sources=sources, publish_schema=publish_schema, day_column=day_column
+    )
 
 
 # Parents first, so that a load in this order never leaves a dangling reference.
@@ -89,6 +94,7 @@ TABLES: dict[str, Table] = {
             change_column="order_ts",
             incremental=True,
             seed_mode="append",
+            day_column="order_ts",
         ),
         Table(
             name="fact_kitchen",
@@ -106,6 +112,7 @@ TABLES: dict[str, Table] = {
             change_column="cooking_end",
             incremental=True,
             seed_mode="append",
+            day_column="cooking_end",
         ),
         Table(
             name="fact_stock",
@@ -124,15 +131,18 @@ TABLES: dict[str, Table] = {
             ),
             seed_mode="append",
         ),
-        Table(name="fact_sales_items", layer="raw", key=(), sources=("fact_sales",)),
+        Table(name="fact_sales_items", layer="raw", key=(), sources=("fact_sales",), day_column="order_ts"),
         _product(
             "fact_sales_enriched", ("order_id",), "enrich",
             "fact_sales", "fact_sales_items", "dim_customer", "dim_outlet", "fact_kitchen",
         ),
-        _product("fact_kitchen_enriched", ("order_id",), "enrich", "fact_kitchen", "dim_chef", "dim_outlet"),
+        _product(
+            "fact_kitchen_enriched", ("order_id",), "enrich", "fact_kitchen", "dim_chef", "dim_outlet",
+            day_column="cooking_end",
+        ),
         _product(
             "fact_stock_enriched", ("outlet_id", "stock_item", "stock_date_raw"), "enrich",
-            "fact_stock", "dim_stock_item", "dim_outlet",
+            "fact_stock", "dim_stock_item", "dim_outlet", day_column="stock_date_raw",
         ),
         _product("chef_performance", ("chef_id",), "people", "fact_kitchen", "dim_chef", "dim_outlet", "fact_sales"),
         _product("customer", ("customer_id",), "people", "fact_sales", "dim_customer", "fact_sales_items"),

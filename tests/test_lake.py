@@ -310,7 +310,7 @@ def test_products_publish_and_maintenance(loaded):
         jobs.enrich(loaded, name)
     assert loaded.read("fact_sales_enriched").count() == 300
     assert loaded.read("customer_preference").count() == loaded.read("dim_customer").count()
-    assert len(lake.versions(loaded.spark, loaded.table("fact_sales_items"))) == 1
+    assert loaded.has_days("fact_sales_items") and not loaded.has_days("fact_sales_enriched")
     jobs.enrich(loaded, "customer")
     assert len(lake.versions(loaded.spark, loaded.table("customer"))) == 2
 
@@ -343,7 +343,7 @@ def test_delta_load_merges_changes_above_the_mark(spark, tmp_path):
     got = {r.order_id: r.total_order_price for r in target.read("fact_sales").collect()}
     assert len(got) == 41 and got[changed["order_id"]] == 2.0 and "NEW" in got
     assert got[late["order_id"]] == data["fact_sales"][3]["total_order_price"]
-    assert "/Sandbox/Raw/" in target.table("fact_sales").current
+    assert "/Sandbox/Raw/" in target.days("fact_sales").path
 
 
 def test_delta_load_hands_its_window_to_the_database(spark, tmp_path):
