@@ -1,6 +1,6 @@
 """Registered queries over the shared test tables, each with its SQL counterpart."""
 
-from larder.catalogue import cleaning, edges, measures, products, windows
+from larder.catalogue import cleaning, edges, incremental, measures, products, windows
 from larder.catalogue.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "cleaning", "edges", "measures", "products", "windows"]
+__all__ = ["ORACLES", "QUERIES", "cleaning", "edges", "incremental", "measures", "products", "windows"]

@@ -14,10 +14,12 @@ Two families:
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from larder.operators.ordering import before, bounds, part_of, sort_keys
 from larder.sources.shared import checkpointed
 
 
@@ -41,20 +43,54 @@ def top_per_group(
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= rows).drop("_rank")
 
 
-def page(df: DataFrame, order: Sequence[Column | str], number: int, size: int) -> DataFrame:
-    """Rows ``[number * size, (number + 1) * size)`` in the given order.
+def page(
+    df: DataFrame, order: Sequence[Column | str], number: int, size: int, shallow: int = 10_000, parts: int = 64
+) -> DataFrame:
+    """Rows ``[number * size, (number + 1) * size)`` in the given order, which should end in a unique column.
 
-    Every task keeps only the rows up to the end of the page. Pages that start many millions of rows
-    in are cheaper with ``spark.sql.execution.topKSortFallbackThreshold`` set below that, which makes
-    Spark sort in ranges instead.
+    For pages within the first ``shallow`` rows every task keeps only the rows up to the end of the page. A deeper one
+    is approached by counting: bounds drawn from a sample cut the order into ``parts``, one pass over the order columns
+    counts the rows of each, and the page lies in one or a few of them; that stretch is cut again until it holds
+    few rows. Only these are sorted, and the conditions on them are plain comparisons that reach the scan.
     """
-    return df.orderBy(*order).offset(number * size).limit(size)
-
-
-def _segmented(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], segment: Column | None) -> DataFrame:
+    first, last = number * size, (number + 1) * size
+    if last <= shallow:
+        return df.orderBy(*order).offset(first).limit(size)
+    keys = sort_keys(order)
+    ordered = [k.column for k in keys]
+    stretch, rows, skipped = df, df.count(), 0
+    if first >= rows:
+        return df.limit(0)
+    while rows > shallow:
+        cuts = bounds(stretch, keys, parts, rows)
+        counted = dict(map(tuple, stretch.groupBy(part_of(df, keys, cuts)).count().collect()))
+        earlier = [0, *accumulate(counted.get(i, 0) for i in range(len(cuts) + 1))]
+        low = max(i for i, n in enumerate(earlier[:-1]) if n <= first - skipped)
+        high = min(i for i, n in enumerate(earlier) if i > low and n >= min(last - skipped, rows))
+        if earlier[high] - earlier[low] == rows:
+            break  # rows with one order value, or a page as long as the stretch
+        if low:
+            stretch = stretch.filter(~before(df, keys, cuts[low - 1]))
+        if high <= len(cuts):
+            stretch = stretch.filter(before(df, keys, cuts[high - 1]))
+        skipped, rows = skipped + earlier[low], earlier[high] - earlier[low]
+    return stretch.orderBy(*ordered).offset(first - skipped).limit(size)
+
+
+#: More parts than these would make the plan's expressions too long; they are fixed by a checkpoint instead.
+MOST_LITERAL_PARTS = 256
+
+
+def _segmented(
+    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], segment: Column | None
+) -> DataFrame:
     if segment is not None:
         return df.withColumn("_segment", segment)
-    # Both uses of the segments must see the same range bounds, which are sampled: fix them first.
+    # Every use of the segments must see the same bounds: they are literals, from one sample of the order columns.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if parts <= MOST_LITERAL_PARTS:
+        keys = sort_keys([*by, *order])
+        return df.withColumn("_segment", part_of(df, keys, bounds(df, keys, parts)))
     ranged = df.repartitionByRange(*by, *order)
     return checkpointed(ranged.withColumn("_segment", F.spark_partition_id()))
 
@@ -115,27 +151,33 @@ def moving(
     """Aggregates over the current row and up to ``preceding`` earlier rows of its group.
 
     ``segment`` as in ``running``; ``order`` names columns that identify a row of its group. Each
-    segment borrows the last rows of the segments before it, ``preceding`` at most.
+    segment borrows the last rows of the segments before it, ``preceding`` in all at most, as rows.
     """
     keys = [*by, "_segment"]
     base = _segmented(df, by, order, segment)
 
+    # One row for each segment of a group: how many rows of the group come before it, and how many up to its end.
+    earlier = window_spec(by, ["_segment"], (Window.unboundedPreceding, -1))
+    sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    spans = sizes.withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    # A segment lends its last rows to those later ones of its group that begin within ``preceding`` rows of its end.
+    ends = spans.select(*[F.col(k).alias(f"_from{i}") for i, k in enumerate(keys)], (F.col("_start") + F.col("_rows")).alias("_end"))
+    same = F.lit(True)
+    for i, k in enumerate(by):
+        same = same & F.col(k).eqNullSafe(F.col(f"_from{i}"))
+    gap = (F.col("_start") - F.col("_end")).alias("_gap")
+    later = F.col("_segment") > F.col(f"_from{len(by)}")
+    lent = spans.join(ends, same & later & (F.col("_start") - F.col("_end") < preceding))
+    loans = lent.select(*[f"_from{i}" for i in range(len(keys))], F.col("_segment").alias("_to"), gap)
     from_end = F.row_number().over(window_spec(keys, [F.desc(c) for c in order]))
-    row = F.struct(*order, F.struct(*df.columns).alias("row"))
-    tails = (
-        base.withColumn("_rank", from_end)
-        .filter(F.col("_rank") <= preceding)
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(row)).alias("_tail"))
-    )
-    # Every segment holds a row at least, so this many segments hold all rows that can be needed.
-    earlier = window_spec(by, ["_segment"], (-preceding, -1))
-    surplus = F.greatest(F.size("_tail") - preceding, F.lit(0))
+    tails = base.withColumn("_rank", from_end).filter(F.col("_rank") <= preceding)
+    match = F.lit(True)
+    for i, k in enumerate(keys):
+        match = match & F.col(k).eqNullSafe(F.col(f"_from{i}"))
     seeds = (
-        tails.withColumn("_tail", F.flatten(F.collect_list("_tail").over(earlier)))
-        .withColumn("_tail", F.slice("_tail", surplus + 1, F.lit(preceding)))
-        .select("_segment", F.explode("_tail").alias("_tail"))
-        .select("_segment", "_tail.row.*")
+        tails.join(loans, match & (F.col("_rank") + F.col("_gap") <= preceding))
+        .withColumn("_segment", F.col("_to"))
+        .select(*base.columns)
     )
     inside = window_spec(keys, [F.desc("_seed"), *order], (-preceding, Window.currentRow))
     return (

@@ -169,6 +169,56 @@ def test_page_needs_no_global_window(spark):
     assert page(df, ["id"], 10, 100).count() == 0
 
 
+@pytest.mark.parametrize("shallow", [1, 40])
+def test_deep_pages_equal_slices_of_the_sorted_rows(spark, shallow):
+    """Both directions, both places of nulls, and ties of the leading column."""
+    df = events(spark, 12, 300)
+    for order in ([F.desc("k"), "id"], ["v", F.desc("ts"), "id"], [F.asc_nulls_last("v"), F.desc("id")], [F.desc_nulls_first("k"), F.desc("ts"), "id"]):
+        whole = [tuple(r) for r in df.orderBy(*order).collect()]
+        for number, size in ((0, 7), (5, 7), (29, 10), (1, 150), (40, 10)):
+            got = page(df, order, number, size, shallow=shallow, parts=5).collect()
+            assert list(map(tuple, got)) == whole[number * size : (number + 1) * size]
+
+
+def test_a_deep_page_sorts_only_its_stretch(spark, tmp_path):
+    spark.range(0, 60_000, 1, 8).select(F.col("id"), (F.col("id") * 7919 % 60_000).alias("n")).write.parquet(str(tmp_path / "t"))
+    deep = page(spark.read.parquet(str(tmp_path / "t")), [F.desc("n")], 500, 100, shallow=2000)
+    assert [r.n for r in deep.collect()] == list(range(59_999 - 50_000, 59_999 - 50_100, -1))
+    text = plan(deep)
+    limit = int(text.split("TakeOrderedAndProject(limit=")[1].split(",")[0]) if "TakeOrderedAndProject" in text else 0
+    assert limit <= 2000 + 100
+    assert "LessThanOrEqual(n" in text and "GreaterThan(n" in text  # the stretch is cut by the scan
+
+
+def test_pages_without_a_unique_order(spark):
+    df = spark.range(500).select((F.col("id") * 0).alias("same"))
+    assert page(df, ["same"], 3, 100, shallow=10).count() == 100
+    assert page(df.limit(0), ["same"], 3, 100, shallow=10).count() == 0
+    with pytest.raises(ValueError, match="by name"):
+        page(df, [F.col("same") + 1], 3, 100, shallow=10)
+
+
+def test_wide_frames_without_checkpoint_or_arrays(spark, rows):
+    key = F.when(F.col("id") % 3 > 0, F.lit("hot"))
+    df = spark.range(0, 20_000, 1, 6).select(key.alias("k"), "id", (F.col("id") * 31 % 101).alias("v"))
+    aggregates = {"total": F.sum("v"), "n": F.count(F.lit(1)), "low": F.min("v")}
+    spec = window_spec(["k"], ["id"], (-2000, 0))
+    before = spark.sparkContext.getCheckpointDir()
+    ours = moving(df, ["k"], ["id"], 2000, aggregates)
+    assert spark.sparkContext.getCheckpointDir() == before
+    assert rows(ours) == rows(df.withColumns({n: a.over(spec) for n, a in aggregates.items()}))
+    assert "collect_list" not in plan(ours) and "Scan ExistingRDD" not in plan(ours)
+
+
+def test_more_parts_than_literals_are_fixed_by_a_checkpoint(spark, rows, monkeypatch):
+    from larder.operators import ranking
+
+    monkeypatch.setattr(ranking, "MOST_LITERAL_PARTS", 2)
+    df = events(spark, 5, 120)
+    ours = moving(df, ["k"], ["ts", "id"], 9, {"total": F.sum("v")})
+    assert rows(ours) == rows(df.withColumn("total", F.sum("v").over(window_spec(["k"], ["ts", "id"], (-9, 0)))))
+
+
 def test_window_spec_without_parts(spark):
     df = spark.createDataFrame([(1,), (2,), (3,)], "n int")
     out = df.select("n", F.sum("n").over(window_spec(order_by=["n"], frame=(-1, 0))).alias("s")).orderBy("n")
