@@ -15,6 +15,7 @@ from larder.plans import jobs
 from larder.plans.registry import PRODUCTS
 from larder.sources.jdbc import Database, hash_buckets
 from larder.sources.lake import read_landing
+from larder.streaming.landing import follow_landing
 from larder.tables import PUBLISHED, SEEDED
 
 
@@ -43,6 +44,9 @@ def parser() -> argparse.ArgumentParser:
     parallel.add_argument("--part", action="append", help="SQL condition of one of several reads, which together cover all rows once")
     parallel.add_argument("--hash", help="SQL of a non-negative number that deals rows to --parts reads")
     raw.add_argument("--parts", type=int, default=16, help="reads for --hash")
+    follow = sub.add_parser("follow", parents=[shared], help="merge newly dropped CSV files of one raw table")
+    follow.add_argument("--table", choices=SEEDED, required=True)
+    follow.add_argument("--landing", required=True, help="root of dropped CSV files")
     sub.add_parser("dimensions", parents=[shared, load], help="load all dimensions")
     enrich = sub.add_parser("enrich", parents=[shared], help="derive one product")
     enrich.add_argument("--table", choices=tuple(PRODUCTS), required=True)
@@ -84,6 +88,8 @@ def main(argv: list[str] | None = None) -> None:
             jobs.load_raw(target, args.table, fetch, args.loadtype)
         else:
             jobs.load_dimensions(target, fetch, args.loadtype)
+    elif args.job == "follow":
+        follow_landing(target, args.landing, args.table)
     elif args.job == "enrich":
         jobs.enrich(target, args.table, args.loadtype)
     elif args.job == "publish":

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larder.catalogue import base
-from larder.catalogue.base import ORACLES, load, query
-from larder.catalogue.edges import SPLIT, SQL_CHANGES, SQL_TARGET, target_and_changes
+from larder.catalogue.base import ORACLES, SCHEMAS, load, query
+from larder.catalogue.edges import OVERLAP, SPLIT, SQL_CHANGES, SQL_TARGET, target_and_changes
 from larder.catalogue.products import SQL_MENU_LINES, YEAR_SECONDS, menu_orders
 from larder.operators.ranking import moving, page
 from larder.plans.changes import refreshed
 from larder.plans.registry import derive
-from larder.sources import daily
+from larder.sources import daily, lake
 from larder.sources.shared import scratch
 from larder.streaming.incremental import change_window
+from larder.streaming.landing import follow, newest
 
 # Every fifth change moves its order by 40 days, every seventh takes its date away.
 MOVED_DATE = """CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN o_orderdate + INTERVAL 40 DAY
@@ -110,3 +111,39 @@ def moving_wide(spark, sf):
     frame = {"cents": F.sum(F.rint(F.col("value") * 100).cast("bigint")), "n": F.count(F.lit(1)), "lowest": F.min("value")}
     rows = moving(events, ["event_type"], ["ts", "event_id"], 500, frame)
     return rows.drop("event_type", "value")
+
+
+@query(
+    "stream_landed_drops",
+    """SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate > TIMESTAMP '1998-01-01' THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+ CASE WHEN o_orderdate > TIMESTAMP '1998-01-01' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+ o_orderdate, o_orderpriority FROM orders""",
+)
+def stream_landed(spark, sf):
+    """Orders dropped on three days, a stale copy of some after their newer rows; one run before the last drop, one after."""
+    root, orders = scratch(spark), load(spark, sf, "orders").withColumn("version", F.lit(1))
+    newer = change_window(orders, "o_orderdate", start=OVERLAP).withColumns(
+        {"o_orderstatus": F.lit("X"), "o_totalprice": F.col("o_totalprice") + 1, "version": F.lit(2)}
+    )
+    table = daily.DayTable(f"{root}/orders", "o_orderdate", unit="year")
+    schema = SCHEMAS["orders"] + ", version int"
+
+    def take(rows):
+        held = daily.read(spark, table) if daily.exists(spark, table) else rows.limit(0)
+        changes = newest(held, rows, ["o_orderkey"], [F.desc("version")])
+        if not daily.exists(spark, table):
+            return daily.write(spark, table, changes)
+        changes.write.mode("overwrite").parquet(f"{root}/batch")
+        daily.merge(spark, table, spark.read.parquet(f"{root}/batch"), ["o_orderkey"])
+
+    def drop(day, rows):
+        path = lake.landing_path(root, "orders", "delta", day)
+        rows.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path)
+
+    drop("1999-01-01", change_window(orders, "o_orderdate", end=SPLIT))
+    drop("1999-01-02", newer)
+    run = lambda: follow(spark, lake.landing_path(root, "orders", "full"), schema, take, f"{root}/progress")
+    run()
+    drop("1999-01-03", change_window(orders, "o_orderdate", start=OVERLAP))
+    run()
+    return daily.read(spark, table).drop("version")

@@ -63,6 +63,8 @@ def page(
         return df.limit(0)
     while rows > shallow:
         cuts = bounds(stretch, keys, parts, rows)
+        if not cuts:
+            break  # all sampled rows have one order value
         counted = dict(map(tuple, stretch.groupBy(part_of(df, keys, cuts)).count().collect()))
         earlier = [0, *accumulate(counted.get(i, 0) for i in range(len(cuts) + 1))]
         low = max(i for i, n in enumerate(earlier[:-1]) if n <= first - skipped)

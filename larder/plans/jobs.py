@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.functions.menu import lines_to_json
@@ -95,6 +95,21 @@ def effective_loadtype(name: str, loadtype: str) -> str:
     return loadtype if table(name).incremental or name in DIMENSIONS else "full"
 
 
+def preference(name: str, df: DataFrame) -> list[Column | str]:
+    """Of rows with one key the latest stays, then the least by a hash of the row, so a rerun repeats it.
+
+    Only rows whose hashes are equal too are told apart by their other columns.
+    """
+    spec = table(name)
+    latest = [F.desc(spec.change_column)] if spec.change_column else []
+    others = [c for c in df.columns if c not in spec.rules.unique_by and c != spec.change_column]
+    return [*latest, F.xxhash64(*others), *others] if others else latest
+
+
+def cleaned(name: str, source: DataFrame) -> DataFrame:
+    return clean_table(source, table(name).rules, prefer=preference(name, source))
+
+
 def load_raw(target: Lake, name: str, fetch: Fetch, loadtype: str = "full", until=None) -> Stored:
     """Extract, clean and store one raw table.
 
@@ -108,12 +123,8 @@ def load_raw(target: Lake, name: str, fetch: Fetch, loadtype: str = "full", unti
         start = last_loaded(target.read(name), spec.change_column) if target.has(name) else None
         end = F.current_timestamp() if until is None else until
     source = change_window(fetch(name, start, end), spec.change_column, start, end)
-    # Of rows with one key the latest stays, then the first by its other columns, so a rerun repeats it.
-    latest = [F.desc(spec.change_column)] if spec.change_column else []
-    others = [c for c in source.columns if c not in spec.rules.unique_by and c != spec.change_column]
-    cleaned = clean_table(source, spec.rules, prefer=[*latest, *others])
     log.info("loading %s, %s", name, loadtype)
-    return store(target, name, cleaned, loadtype)
+    return store(target, name, cleaned(name, source), loadtype)
 
 
 def load_dimensions(
