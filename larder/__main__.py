@@ -13,10 +13,10 @@ from pyspark.sql import SparkSession
 
 from larder.plans import jobs
 from larder.plans.registry import PRODUCTS
-from larder.sources.jdbc import Database, hash_buckets
+from larder.sources.jdbc import Database, Ranges, hash_buckets, remainder
 from larder.sources.lake import read_landing
 from larder.streaming.landing import follow_landing
-from larder.tables import PUBLISHED, SEEDED
+from larder.tables import DIMENSIONS, PUBLISHED, SEEDED, table
 
 
 def database(splits: dict | None = None) -> Database:
@@ -35,6 +35,8 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--loadtype", choices=("full", "delta"), required=True)
     load.add_argument("--landing", help="root of dropped CSV files, instead of the database")
     load.add_argument("--day", help="drop to read in a delta load, YYYY-MM-DD")
+    load.add_argument("--parts", type=int, default=16, help="reads for --hash and --ranges")
+    load.add_argument("--ranges", action="store_true", help="read each table in --parts ranges of its key, found by a query")
 
     top = argparse.ArgumentParser(prog="larder", description=__doc__)
     sub = top.add_subparsers(dest="job", required=True)
@@ -43,7 +45,6 @@ def parser() -> argparse.ArgumentParser:
     parallel = raw.add_mutually_exclusive_group()
     parallel.add_argument("--part", action="append", help="SQL condition of one of several reads, which together cover all rows once")
     parallel.add_argument("--hash", help="SQL of a non-negative number that deals rows to --parts reads")
-    raw.add_argument("--parts", type=int, default=16, help="reads for --hash")
     follow = sub.add_parser("follow", parents=[shared], help="merge newly dropped CSV files of one raw table")
     follow.add_argument("--table", choices=SEEDED, required=True)
     follow.add_argument("--landing", required=True, help="root of dropped CSV files")
@@ -62,11 +63,14 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
-def splits(args: argparse.Namespace) -> dict[str, list[str]]:
+def splits(args: argparse.Namespace, url: str = "") -> dict[str, Ranges | list[str]]:
     """Parallel reads asked for on the command line."""
-    if args.job != "raw" or not (args.part or args.hash):
+    if args.job not in ("raw", "dimensions"):
         return {}
-    return {args.table: args.part or hash_buckets(args.hash, args.parts)}
+    if args.job == "raw" and (args.part or args.hash):
+        return {args.table: args.part or hash_buckets(args.hash, args.parts, remainder(url))}
+    names = DIMENSIONS if args.job == "dimensions" else (args.table,)
+    return {n: Ranges(table(n).key[0], args.parts) for n in names} if args.ranges else {}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -83,7 +87,7 @@ def main(argv: list[str] | None = None) -> None:
                 loadtype = jobs.effective_loadtype(name, args.loadtype)
                 return read_landing(spark, args.landing, name, loadtype, args.day, runtype=args.runtype)
         else:
-            fetch = jobs.database_fetch(spark, database(splits(args)))
+            fetch = jobs.database_fetch(spark, database(splits(args, os.environ.get("LARDER_JDBC_URL", ""))))
         if args.job == "raw":
             jobs.load_raw(target, args.table, fetch, args.loadtype)
         else:

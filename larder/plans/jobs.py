@@ -66,7 +66,7 @@ class Lake:
 
 
 def database_fetch(spark: SparkSession, database: Database) -> Fetch:
-    """Reads from the database, which evaluates the change window itself."""
+    """Reads from the database, which evaluates the change window itself; of text times it evaluates their days."""
 
     def fetch(name: str, start=None, end=None) -> DataFrame:
         column, bounds = table(name).change_column, (bound_text(spark, start), bound_text(spark, end))

@@ -14,7 +14,7 @@ from larder import __main__ as cli
 from larder.plans import jobs
 from larder.sources import delta, lake
 from larder.sources.files import scan, write_mode
-from larder.sources.jdbc import Database, Split, Window, hash_buckets
+from larder.sources.jdbc import Database, Ranges, Split, Window, hash_buckets, remainder
 from larder.streaming.incremental import change_window, last_loaded
 from larder.tables import PUBLISHED, SEEDED, TABLES, table
 from tests.shop import SCHEMAS, build, frames
@@ -102,30 +102,100 @@ def test_jdbc_reads():
     assert "jdbc:x" not in repr(db) and "password" not in repr(db)
 
 
-def test_jdbc_window_is_a_sub_select():
-    db = Database(BASE, {"fact_sales": Split("order_no", 0, 100, 8)})
-    read = lambda *bounds: db.read(FakeSpark(), table="fact_sales", window=Window("order_ts", *bounds))
-    both = read("2025-11-10 00:00:00", "2025-11-11 00:00:00")
-    assert both["dbtable"] == (
-        "(SELECT * FROM fact_sales WHERE order_ts > TIMESTAMP '2025-11-10 00:00:00'"
-        " AND order_ts <= TIMESTAMP '2025-11-11 00:00:00') AS tmp"
-    )
-    assert both["numPartitions"] == "8"
-    assert read(None, "2025-11-11 00:00:00")["dbtable"].endswith("WHERE order_ts <= TIMESTAMP '2025-11-11 00:00:00') AS tmp")
-    assert read()["dbtable"] == "fact_sales"
+class Loading(FakeSpark):
+    """Hands out given frames by what is read."""
+
+    def __init__(self, frames):
+        super().__init__()
+        self.read = self.Reader([])
+        self.read.frames = frames
+
+    class Reader(Recorder):
+        def load(self):
+            return self.frames[self.log[-1]["dbtable"]]
+
+        def jdbc(self, url, relation, predicates, properties):
+            self.log.append({"predicates": predicates})
+            frame = self.frames[relation]
+            parts = [frame.filter(p) for p in predicates]
+            out = parts[0]
+            for p in parts[1:]:
+                out = out.union(p)
+            return out
+
+
+def pushed(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_windows_are_comparisons_spark_can_hand_on(spark):
+    """No SQL of any one database: Spark renders plain comparisons for each."""
+    times = spark.createDataFrame([(datetime(2025, 11, d),) for d in range(9, 14)], "order_ts timestamp")
+    texts = times.select(F.date_format("order_ts", "yyyy-MM-dd'T'HH:mm:ss").alias("order_ts"))
+    window = Window("order_ts", "2025-11-10 00:00:00", "2025-11-12 00:00:00")
+    for frame, days in ((times, [11, 12]), (texts, [10, 11, 12])):
+        got = Database(BASE).read(Loading({"fact_sales": frame}), table="fact_sales", window=window)
+        assert sorted(int(str(r[0])[8:10]) for r in got.collect()) == days
+        assert "try_to_timestamp" not in pushed(got) and "cast(order_ts" not in pushed(got)
+        # The caller's own cut of the fetched days is exact for both.
+        assert change_window(got, "order_ts", datetime(2025, 11, 10), datetime(2025, 11, 12)).count() == 2
+    open_end = Database(BASE).read(Loading({"fact_sales": texts}), table="fact_sales", window=Window("order_ts", end="2025-11-10 08:00:00"))
+    assert open_end.count() == 2
+    with_space = texts.select(F.translate("order_ts", "T", " ").alias("order_ts"))
+    assert Database(BASE).read(Loading({"fact_sales": with_space}), table="fact_sales", window=window).count() == 3
+    dialects = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects
+    stamp = spark._jvm.java.sql.Timestamp.valueOf("2025-11-10 00:00:00")
+    for url in ("jdbc:sqlserver://h", "jdbc:postgresql://h/d"):
+        assert dialects.get(url).compileValue(stamp).strip("'") == "2025-11-10 00:00:00.0"
+        assert dialects.get(url).compileValue("2025-11-10") == "'2025-11-10'"
+
+
+@pytest.mark.parametrize("kind", ["text", "number", "time"])
+@pytest.mark.parametrize("parts", [1, 3, 8, 50])
+def test_ranges_found_by_a_query_cover_every_row_once(spark, kind, parts):
+    """The bounds query and the conditions run as SQL over rows with quotes, repeats and missing values."""
+    value = {
+        "text": F.when(F.col("id") % 7 > 0, F.concat(F.lit("O'"), (F.col("id") % 40).cast("string"))),
+        "number": F.when(F.col("id") % 7 > 0, F.col("id") % 40),
+        "time": F.when(F.col("id") % 7 > 0, F.timestamp_seconds(F.col("id") * 1000)),
+    }[kind]
+    frame = spark.range(200).select("id", value.alias("k"))
+    ranges = Ranges("k", parts)
+    frame.createOrReplaceTempView("ranged")
+    loading = Loading({f"({ranges.bounds_query('ranged')}) AS tmp": spark.sql(ranges.bounds_query("ranged")), "ranged": frame})
+    got = Database(BASE, {"ranged": ranges}).read(loading, table="ranged")
+    assert sorted(r.id for r in got.collect()) == list(range(200))
+    conditions = [c for entry in loading.read.log for c in entry.get("predicates", [])]
+    assert len(conditions) <= parts and (parts == 1) == (conditions == [])
+    if kind == "time":
+        sizes = [frame.filter(c).count() for c in conditions]
+        assert parts == 1 or max(sizes) <= 2 * 200 / parts + 40
+
+
+def test_ranges_of_an_empty_table_are_one_read(spark):
+    frame = spark.createDataFrame([], "k string")
+    frame.createOrReplaceTempView("ranged")
+    ranges = Ranges("k", 4)
+    loading = Loading({f"({ranges.bounds_query('ranged')}) AS tmp": spark.sql(ranges.bounds_query("ranged")), "ranged": frame})
+    assert Database(BASE, {"ranged": ranges}).read(loading, table="ranged").count() == 0
 
 
 def test_jdbc_reads_by_conditions():
     parts = hash_buckets("crc32(order_id)", 3)
     assert parts == ["MOD(crc32(order_id), 3) = 0 OR MOD(crc32(order_id), 3) IS NULL", "MOD(crc32(order_id), 3) = 1", "MOD(crc32(order_id), 3) = 2"]
+    assert hash_buckets("h", 2, remainder("jdbc:sqlserver://x")) == ["(h) % 2 = 0 OR (h) % 2 IS NULL", "(h) % 2 = 1"]
+    assert hash_buckets("h", 2, remainder("jdbc:postgresql://x")) == hash_buckets("h", 2)
     db = Database(BASE, {"fact_sales": parts})
-    got = db.read(FakeSpark(), table="fact_sales", window=Window("order_ts", "2025-11-10"))
-    assert got == {**BASE, "dbtable": "(SELECT * FROM fact_sales WHERE order_ts > TIMESTAMP '2025-11-10') AS tmp", "predicates": parts}
-    args = cli.parser().parse_args(["raw", "--root", "r", "--loadtype", "full", "--table", "fact_sales", "--part", "a < 1", "--part", "a >= 1"])
-    assert cli.splits(args) == {"fact_sales": ["a < 1", "a >= 1"]}
-    args = cli.parser().parse_args(["raw", "--root", "r", "--loadtype", "full", "--table", "fact_sales", "--hash", "h", "--parts", "2"])
-    assert cli.splits(args) == {"fact_sales": hash_buckets("h", 2)}
-    assert cli.splits(cli.parser().parse_args(["dimensions", "--root", "r", "--loadtype", "full"])) == {}
+    assert db.read(FakeSpark(), table="fact_sales") == {**BASE, "dbtable": "fact_sales", "predicates": parts}
+    parse = lambda *more: cli.parser().parse_args([*more, "--root", "r", "--loadtype", "full"])
+    assert cli.splits(parse("raw", "--table", "fact_sales", "--part", "a < 1", "--part", "a >= 1")) == {"fact_sales": ["a < 1", "a >= 1"]}
+    by_hash = parse("raw", "--table", "fact_sales", "--hash", "h", "--parts", "2")
+    assert cli.splits(by_hash) == {"fact_sales": hash_buckets("h", 2)}
+    assert cli.splits(by_hash, "jdbc:sqlserver://x") == {"fact_sales": ["(h) % 2 = 0 OR (h) % 2 IS NULL", "(h) % 2 = 1"]}
+    assert cli.splits(parse("raw", "--table", "fact_sales", "--ranges", "--parts", "9")) == {"fact_sales": Ranges("order_id", 9)}
+    found = cli.splits(parse("dimensions", "--ranges"))
+    assert found["dim_item"] == Ranges("item_id", 16) and len(found) == 5
+    assert cli.splits(parse("dimensions")) == {}
 
 
 class RecordingDatabase(Database):
@@ -354,16 +424,16 @@ def test_delta_load_hands_its_window_to_the_database(spark, tmp_path):
 
     class Asked(Database):
         def read(self, spark, table=None, query=None, window=None):
-            asked.append((table, self.relation(table, query, window)))
+            asked.append((table, window))
             return source(table)
 
     fetch = jobs.database_fetch(spark, Asked(BASE))
     for name, until in (("fact_sales", datetime(2025, 11, 11)), ("fact_sales", datetime(2025, 11, 12)), ("dim_outlet", None)):
         jobs.load_raw(target, name, fetch, "delta", until=until)
     first, second, outlets = [a[1] for a in asked]
-    assert first == "(SELECT * FROM fact_sales WHERE order_ts <= TIMESTAMP '2025-11-11 00:00:00') AS tmp"
-    assert "order_ts > TIMESTAMP '2025-11-10 00:02:00' AND order_ts <= TIMESTAMP '2025-11-12 00:00:00'" in second
-    assert outlets == "dim_outlet"
+    assert first == Window("order_ts", None, "2025-11-11 00:00:00")
+    assert second == Window("order_ts", "2025-11-10 00:02:00", "2025-11-12 00:00:00")
+    assert outlets is None
 
 
 def test_delta_load_of_a_dimension_merges_and_of_stock_replaces(spark, tmp_path):
