@@ -1,7 +1,7 @@
 """Operators for preparing language-model training data.
 
-Functions of this package that run on executors are sent by value, so that no package needs to be
-installed there.
+Functions of this package that run on executors are sent by value, and so are broadcast values (``sent``), so that
+no package needs to be installed there.
 """
 
 import sys

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.sent import Sent
 from larder.llm.text import Reader, Words, mix, shingles
 
 SHINGLE = 5
@@ -241,6 +242,6 @@ def contaminated(
     schema = f"doc_id {kind}, item_id bigint, first_word bigint, n_words bigint, hamming bigint, similarity double"
     found = spark.createDataFrame([], schema)
     for items in _item_blocks(benchmark, item_column, item_text_column):
-        sent = spark.sparkContext.broadcast(items)
+        sent = Sent(spark, items)
         found = found.union(chosen.mapInArrow(_finder(sent, least), schema))
     return found.withColumnRenamed("doc_id", id_column)
