@@ -51,6 +51,7 @@ def menu_orders(spark, sf):
     lines = F.when(first > 0, F.array(line(first, base.toppings()), second)).otherwise(F.array(second))
     return (
         load(spark, sf, "lineitem")
+        .repartition("l_orderkey")  # before the JSON is built and parsed: a scan may have fewer parts than tasks
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .select(
             F.col("l_orderkey").alias("order_id"),

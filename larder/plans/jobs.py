@@ -95,6 +95,14 @@ def effective_loadtype(name: str, loadtype: str) -> str:
     return loadtype if table(name).incremental or name in DIMENSIONS else "full"
 
 
+def high_water(target: Lake, name: str):
+    """Up to where the table's changes were loaded; of a table kept by days of its change column one day is read."""
+    column = table(name).change_column
+    if target.has_days(name) and table(name).day_column == column:
+        return daily.last_time(target.spark, target.days(name))
+    return last_loaded(target.read(name), column)
+
+
 def preference(name: str, df: DataFrame) -> list[Column | str]:
     """Of rows with one key the latest stays, then the least by a hash of the row, so a rerun repeats it.
 
@@ -120,7 +128,7 @@ def load_raw(target: Lake, name: str, fetch: Fetch, loadtype: str = "full", unti
     spec, loadtype = table(name), effective_loadtype(name, loadtype)
     start = end = None
     if loadtype == "delta" and spec.incremental:
-        start = last_loaded(target.read(name), spec.change_column) if target.has(name) else None
+        start = high_water(target, name) if target.has(name) else None
         end = F.current_timestamp() if until is None else until
     source = change_window(fetch(name, start, end), spec.change_column, start, end)
     log.info("loading %s, %s", name, loadtype)

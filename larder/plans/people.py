@@ -56,7 +56,9 @@ def customer_profile(tables: Tables, loaded_at: Column | None = None, as_of: Col
     sales = parse_timestamps(tables["fact_sales"], "order_ts").select(
         "order_id", "customer_id", "order_ts", "total_order_price"
     )
-    quantities = quantity_per_order(tables["fact_sales_items"]).select("order_id", "items_in_order")
+    # Dealt by order once: the roll-up by customer and order and the join by order both find their rows together.
+    items = tables["fact_sales_items"].select("customer_id", "order_id", "quantity").filter(F.col("order_id").isNotNull())
+    quantities = quantity_per_order(items.repartition("order_id")).select("order_id", "items_in_order")
     per_buyer = sales.join(quantities, "order_id", "left").groupBy("customer_id").agg(*_spending())
 
     known = tables["dim_customer"].select(F.col("customer_id").alias("known_id"))

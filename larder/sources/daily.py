@@ -53,6 +53,15 @@ def read(spark: SparkSession, table: DayTable) -> DataFrame:
     return _files(spark, table).filter(F.col(MARKER).isNull()).drop(DAY, MARKER)
 
 
+def last_time(spark: SparkSession, table: DayTable):
+    """The highest value of the table's time column, None without any, read from the last day that has rows."""
+    days = _files(spark, table).filter(F.col(MARKER).isNull() & F.col(DAY).isNotNull()).agg(F.max(DAY)).first()[0]
+    if days is None:
+        return None
+    last = _files(spark, table).filter(F.col(MARKER).isNull() & (F.col(DAY) == F.lit(days)))
+    return last.agg(F.max(table.column)).first()[0]
+
+
 def _day_of(df: DataFrame, table: DayTable) -> Column:
     text = df.schema[table.column].dataType.typeName() == "string"
     day = (F.try_to_timestamp(table.column) if text else F.col(table.column)).cast("date")

@@ -128,3 +128,11 @@ def test_compaction_rewrites_days_with_several_files(spark, table):
     after = files(table)
     assert len(of_day(after, "2025-11-01")) == 1 and of_day(before, "2025-11-03") == of_day(after, "2025-11-03")
     assert daily.read(spark, table).count() == 6
+
+
+def test_last_time_reads_one_day(spark, table):
+    assert daily.last_time(spark, table) == DAYS[2]
+    daily.merge(spark, table, frame(spark, (4, DAYS[0], "moved")), ["k"])  # the last day has no rows now
+    assert daily.last_time(spark, table) == DAYS[1]
+    daily.write(spark, table, frame(spark, (1, None, "undated")))
+    assert daily.last_time(spark, table) is None
