@@ -91,11 +91,11 @@ def stock_by_change(spark, sf):
 @query(
     "page_deep",
     "SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity FROM lineitem"
-    " ORDER BY l_shipdate DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity LIMIT 100 OFFSET 40000",
+    " ORDER BY l_shipdate DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity LIMIT 100 OFFSET 5000",
 )
 def deep_page(spark, sf):
     order = [F.desc("l_shipdate"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
-    rows = page(load(spark, sf, "lineitem"), order, number=400, size=100)
+    rows = page(load(spark, sf, "lineitem"), order, number=50, size=100, shallow=1000)
     return rows.select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
 
 
