@@ -75,25 +75,29 @@ def mix_sources(
     seed: str = "mix",
     id_column: str = "doc_id",
     source_column: str = "source",
+    text_column: str = "text",
 ) -> DataFrame:
     """All columns of the repeated documents, and ``copy`` from 0, in a globally shuffled order.
 
     ``size`` is the size of the mix as a multiple of the input. A null source is a source of its own. The
-    number of repetitions follows from seed and id alone: rows that repeat an id are repeated alike,
-    and null ids alike too. Texts are not looked at. A column already named ``copy`` is replaced. An
-    empty table gives an empty one.
+    number of repetitions follows from the seed and the id, for rows without id from the seed and a digest of
+    the text (null: that of an empty one): rows that repeat an id are repeated alike, and so are rows
+    without id of one text. Else texts are not looked at, and the column may be absent. A column already named
+    ``copy`` is replaced, all others keep their names and values. An empty table gives an empty one.
 
-    The order is that of partitions dealt by a hash of seed, id and copy, each sorted by another such hash, so
-    it is the same in every run with as many partitions.
+    Partitions are dealt by a hash of seed, id and copy, and each is sorted by another such hash.
+    How many partitions there are, and with it the order, is the session's choice.
     """
     columns = [c for c in docs.columns if c != "copy"]
+    digest = F.md5(F.coalesce(F.col(text_column), F.lit("")).cast("binary")) if text_column in columns else F.lit("")
+    key = F.coalesce(F.col(id_column).cast("string"), digest)
     rates = source_rates(docs, source_column, weights, power, size)
+    # A row is one column from here on, so that no other column has the name of one of its own.
+    rows = docs.select(F.struct(*columns).alias("row"), F.col(source_column).alias("_source_of"), key.alias("_key"))
     # The rates come from a written table, so adaptive execution can broadcast a small one or split a hot source.
-    joined = docs.select(*columns).join(rates, F.col(source_column).eqNullSafe(F.col("_source")))
-    count = repetitions(F.col(id_column), F.col("_rate"), seed)
-    dealt = joined.withColumn("_count", count).filter("_count > 0").select(
-        *columns, F.explode(F.sequence(F.lit(0), F.col("_count") - 1)).alias("copy")
-    )
-    key = F.concat_ws(":", F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.col("copy").cast("string"), F.lit(seed))
-    dealt = dealt.withColumns({"_deal": F.xxhash64(key), "_order": F.xxhash64(key, F.lit("order"))})
-    return dealt.repartition("_deal").sortWithinPartitions("_order").drop("_deal", "_order")
+    joined = rows.join(rates, F.col("_source_of").eqNullSafe(F.col("_source")))
+    joined = joined.withColumn("_count", repetitions(F.col("_key"), F.col("_rate"), seed)).filter("_count > 0")
+    dealt = joined.select("row", "_key", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)).alias("copy"))
+    place = F.concat_ws(":", "_key", F.col("copy").cast("string"), F.lit(seed))
+    dealt = dealt.select("row", "copy", F.xxhash64(place).alias("_deal"), F.xxhash64(place, F.lit("order")).alias("_order"))
+    return dealt.repartition("_deal").sortWithinPartitions("_order").select("row.*", "copy")

@@ -122,7 +122,7 @@ below AS (
   FROM rates, range(97) AS t(k)
 ),
 units AS (
-  SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':mix:1'), 1, 13))::BIGINT / 4503599627370496.0 AS u
+  SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) || ':mix:1'), 1, 13))::BIGINT / 4503599627370496.0 AS u
   FROM documents
 ),
 counted AS (
