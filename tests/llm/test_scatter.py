@@ -1,0 +1,96 @@
+"""Components, mixing and sharding: rounds, hot groups, rows without id, columns with the operators' own names."""
+
+from __future__ import annotations
+
+import collections
+import zlib
+
+import pytest
+
+from larder.llm import components as module
+from larder.llm import mixing, sharding
+
+CLASHING = (
+    "_count _deal _order _source _source_of _rate _key _n _target row key crc tie same copy_ n i bytes _same _shard _bucket _place _crc _s _b bucket place offset rows size"
+).split()
+
+
+@pytest.mark.parametrize("case", ["chain", "star", "comb"])
+def test_components_take_few_rounds(spark, monkeypatch, case):
+    if case == "chain":
+        edges = [(i, i + 1) for i in range(1000)]
+    elif case == "star":  # its middle is not its least vertex
+        edges = [(500, i) for i in range(1000) if i != 500]
+    else:
+        edges = [(i, i + 1) for i in range(0, 300)] + [(i, 1000 + i) for i in range(300)]
+    written = []
+    original = module.stored
+    monkeypatch.setattr(module, "stored", lambda df: written.append(0) or original(df))
+    found = dict(module.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
+    assert found == {v: 0 for e in edges for v in e}
+    # One table before, two a round, one for each round after the first to compose, one of names.
+    rounds = (len(written) - 1) // 3
+    assert rounds <= (3 if case == "star" else 20)
+
+
+def clashing(spark, rows):
+    """Rows with one column of each name the operators use inside, which holds its name."""
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string, tags map<string,int>")
+    return frame.selectExpr("*", *[f"'{c}' AS `{c}`" for c in CLASHING])
+
+
+def test_columns_with_inner_names_keep_their_values(spark):
+    docs = clashing(spark, [(i, f"text {i}", "ab"[i % 2], {"x": i}) for i in range(40)])
+    for result, new in ((mixing.mix_sources(docs, size=3.0), {"copy"}), (sharding.shard_records(docs, shards=3), {"shard", "slot"})):
+        assert set(result.columns) == {*docs.columns, *new}
+        rows = result.collect()
+        assert rows and all(r[c] == c for r in rows for c in CLASHING)
+        assert all(r["text"] == f"text {r['doc_id']}" and r["tags"] == {"x": r["doc_id"]} for r in rows)
+
+
+def test_rows_without_id_are_repeated_by_their_text(spark):
+    docs = spark.createDataFrame([(None, f"text {i}", "a") for i in range(2000)] + [(None, None, "a"), (None, "", "a")], "doc_id bigint, text string, source string")
+    counts = collections.Counter(r["text"] or "" for r in mixing.mix_sources(docs).collect())
+    assert abs(sum(counts.values()) - 2002) < 200 and 1100 < len(counts) < 1400
+    again = collections.Counter(r["text"] or "" for r in mixing.mix_sources(docs.orderBy("text")).collect())
+    assert again == counts
+
+
+@pytest.mark.parametrize("same_rest", [True, False])
+def test_copies_of_one_record_are_split_over_buckets(spark, monkeypatch, same_rest):
+    texts = [(i, "x" * 50, "a", i) for i in range(200)]
+    hot = [(7, "h" * 50, "a", 0 if same_rest else i) for i in range(400)]
+    docs = spark.createDataFrame(texts + hot, "doc_id bigint, text string, source string, extra bigint")
+    seen, original = [], sharding.stored
+
+    def watched(df):
+        out = original(df)
+        if "place" in out.columns:
+            seen.append(out)
+        return out
+
+    monkeypatch.setattr(sharding, "stored", watched)
+    rows = sharding.shard_records(docs, shards=3, bucket_bytes=2000).collect()
+    assert collections.Counter((r["doc_id"], r["text"], r["extra"]) for r in rows) == collections.Counter((i, t, e) for i, t, _, e in texts + hot)
+    slots = collections.defaultdict(list)
+    for r in rows:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert len({r["shard"] for r in rows if r["doc_id"] == 7}) == 1
+    largest = max(r["count"] for r in seen[0].groupBy("shard", "bucket").count().collect())
+    assert largest < 120  # of about 40 on average, where all copies were 400 in one
+    again = sharding.shard_records(docs.orderBy("extra", "text"), shards=3, bucket_bytes=2000).collect()
+    place = lambda found: sorted((r["doc_id"], r["text"], r["extra"], r["shard"], r["slot"]) for r in found)
+    assert place(again) == place(rows)
+
+
+def test_query_columns_follow_from_the_text(spark, tmp_path):
+    from larder.llm.queries import QUERIES
+
+    texts = {1: "é", 2: None, 3: "", 4: "abc\n", 5: "x" * 70000}
+    spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in QUERIES["op8_two_pass_sharding"](spark, str(tmp_path)).collect()}
+    for i, text in texts.items():
+        data = (text or "").encode()
+        assert (rows[i]["size"], rows[i]["text_crc32"], rows[i]["law"]) == (len(data) + 1, zlib.crc32(data), "key")
+        assert rows[i]["grown_shard"] in (rows[i]["shard"], 8)
