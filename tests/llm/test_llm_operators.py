@@ -316,7 +316,7 @@ def test_benchmark_passages_are_found_and_others_not(spark, docs, none):
 
 
 def test_every_fingerprint_within_the_radius_is_a_candidate():
-    items = contamination.Items(list(range(200)), [prose(i, 40) for i in range(200)])
+    items = contamination.Items.of_texts(list(range(200)), [prose(i, 40) for i in range(200)])
     rng = np.random.default_rng(2)
     for item in range(0, 200, 10):
         flips = rng.choice(64, contamination.RADIUS, replace=False)
