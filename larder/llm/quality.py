@@ -17,11 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.text import Reader, Words, shingles
-from larder.llm.training import logistic, sampled_labels, sigmoid, with_sample
+from larder.llm.stages import stored
+from larder.llm.training import sigmoid
 
 PASS = 0.3
-PER_CLASS = 6000
-PAIRS = 30000
 BINS = 10
 FEATURES = 20
 #: Texts are taken in slices of about so many bytes, each with some fifty bytes of arrays a byte.
@@ -118,32 +117,113 @@ def one_hot(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return out
 
 
-def rank(x: np.ndarray, label: np.ndarray, counts: dict[int, int], pairs: int = PAIRS, seed: int = 5) -> Ranking:
-    """Fit from labelled features; ``counts`` are the labels of all training rows, of which these are a sample."""
-    good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
-    edges = np.stack([np.quantile(v, np.arange(1, BINS) / BINS) for v in x.T]) if len(x) else np.zeros((FEATURES, BINS - 1))
-    if not len(good) or not len(bad):  # nothing to rank: all pass, or all fail if only bad ones are known
-        return Ranking(edges, np.zeros(edges.shape[0] * BINS), 1.0 if len(bad) else -1.0, 1.0)
-    rng = np.random.default_rng(seed)
-    hot = one_hot(x, edges)
-    difference = hot[rng.choice(good, pairs)] - hot[rng.choice(bad, pairs)]
-    sign = rng.choice([1.0, -1.0], pairs)
-    weights = logistic(difference * sign[:, None], (sign > 0).astype(float), ridge=3.0)
-    strength = hot @ weights
-    share = np.where(label == 1, counts[1] / len(good), counts[0] / len(bad))
-    order = np.argsort(strength)
-    rejected = counts[0] / (counts[0] + counts[1])
-    cut = strength[order][np.searchsorted(np.cumsum(share[order]) / share.sum(), rejected)]
-    fit = logistic(np.stack([strength - cut, np.ones(len(x))], axis=1), label.astype(float), share, ridge=1e-3)
-    return Ranking(edges, weights, float(cut), float(max(fit[0], 1e-3)))
-
-
-def learn(docs: DataFrame, labels: DataFrame, train: Column, per_class: int = PER_CLASS) -> Ranking:
-    """The ranking from about ``per_class`` labelled training rows of each label."""
-    sample, counts = sampled_labels(labels, "quality", train, per_class)
-    rows = with_sample(docs, sample).select("label", "text").mapInArrow(_extract, "label int, x array<double>").toArrow()
-    x = np.array(rows["x"].to_pylist(), float).reshape(rows.num_rows, FEATURES)
-    return rank(x, rows["label"].to_numpy(), counts)
+def learn(docs: DataFrame, labels: DataFrame, train: Column) -> Ranking:
+    """The ranking from all labelled training rows, fitted in Spark.
+
+    Bin edges are quantile sketches over all rows. Every good row is paired with a bad one and every bad
+    row with a good one, by their places among their kind; the weights are Newton steps whose sums come from
+    all pairs. The cut is the strength below which exactly the share of bad labels lies, the scale a
+    logistic fit over all rows. Rows without id or with a label other than 0 and 1 are not used.
+    """
+    spark = docs.sparkSession
+    known = labels.select("doc_id", F.col("quality").cast("int").alias("label")).filter(
+        F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & train
+    ).select(F.col("doc_id").alias("_id"), "label")
+    joined = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id")).select("label", "text")
+    rows = stored(joined.mapInArrow(_extract, "label int, x array<double>"))
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    good, bad = counts.get(1, 0), counts.get(0, 0)
+    edges = np.zeros((FEATURES, BINS - 1))
+    if good + bad:
+        probabilities = [i / BINS for i in range(1, BINS)]
+        got = rows.select(*[F.percentile_approx(F.col("x")[j], probabilities, 100000) for j in range(FEATURES)]).first()
+        edges = np.array([list(v) for v in got], float)
+    if not good or not bad:  # nothing to rank: all pass, or all fail if only bad ones are known
+        return Ranking(edges, np.zeros(edges.shape[0] * BINS), 1.0 if bad else -1.0, 1.0)
+    weights = _pair_weights(spark, _pairs(spark, rows, good, bad), edges)
+    strengths = stored(rows.mapInArrow(_strengths(edges, weights), "s double, label int"))
+    cut = float(strengths.select("s").rdd.map(lambda r: r[0]).sortBy(lambda v: v).zipWithIndex()
+                .filter(lambda t: t[1] == bad - 1).first()[0])
+    return Ranking(edges, weights, cut, float(max(_scale(strengths, cut), 1e-3)))
+
+
+def _pairs(spark, rows: DataFrame, good: int, bad: int) -> DataFrame:
+    """(g, b) features of good and bad rows: the i-th of each kind meets the (i mod size)-th of the other."""
+
+    def indexed(label: int) -> DataFrame:
+        places = rows.filter(F.col("label") == label).select("x").rdd.zipWithIndex().map(lambda t: (t[1], t[0][0]))
+        return stored(spark.createDataFrame(places, "i long, x array<double>"))
+
+    goods, bads = indexed(1), indexed(0)
+    by_good = goods.select(F.col("x").alias("g"), (F.col("i") % bad).alias("k")).join(
+        bads.select(F.col("i").alias("k"), F.col("x").alias("b")), "k"
+    )
+    by_bad = bads.select(F.col("x").alias("b"), (F.col("i") % good).alias("k")).join(
+        goods.select(F.col("i").alias("k"), F.col("x").alias("g")), "k"
+    )
+    return stored(by_good.select("g", "b").unionByName(by_bad.select("g", "b")))
+
+
+def _pair_sums(edges: np.ndarray, w: np.ndarray):
+    """Gradient and Hessian of the log-likelihood that the good row of each pair is the stronger, per task."""
+
+    def sums(batches):
+        size = len(w)
+        gradient, hessian = np.zeros(size), np.zeros((size, size))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            g = np.array(batch.column(0).to_pylist(), float).reshape(batch.num_rows, FEATURES)
+            b = np.array(batch.column(1).to_pylist(), float).reshape(batch.num_rows, FEATURES)
+            d = one_hot(g, edges) - one_hot(b, edges)
+            p = sigmoid(d @ w)
+            gradient += d.T @ (1 - p)
+            hessian += (d * (p * (1 - p))[:, None]).T @ d
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([gradient, hessian.ravel()]).tobytes()])], names=["sums"])
+
+    return sums
+
+
+def _pair_weights(spark, pairs: DataFrame, edges: np.ndarray, ridge: float = 3.0, rounds: int = 30) -> np.ndarray:
+    """Ridge logistic regression on all pair differences by Newton's method, as ``logistic`` does on few."""
+    size = edges.shape[0] * (edges.shape[1] + 1)
+    w = np.zeros(size)
+    for _ in range(rounds):
+        parts = pairs.mapInArrow(_pair_sums(edges, w.copy()), "sums binary").toArrow()["sums"].to_pylist()
+        total = np.sum([np.frombuffer(x, np.float64) for x in parts], axis=0)
+        gradient, hessian = total[:size] - ridge * w, total[size:].reshape(size, size) + ridge * np.eye(size)
+        step = np.linalg.solve(hessian, gradient)
+        w += step
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
+
+
+def _strengths(edges: np.ndarray, weights: np.ndarray):
+    def strengths(batches):
+        for batch in batches:
+            x = np.array(batch.column(1).to_pylist(), float).reshape(batch.num_rows, FEATURES)
+            yield pa.RecordBatch.from_arrays([pa.array(one_hot(x, edges) @ weights, pa.float64()), batch.column(0)], names=["s", "label"])
+
+    return strengths
+
+
+def _scale(strengths: DataFrame, cut: float, ridge: float = 1e-3, rounds: int = 30) -> float:
+    """Slope of a ridge logistic regression of the label on strength minus the cut, with an intercept."""
+    a, b = 0.0, 0.0
+    t = F.col("s") - F.lit(cut)
+    y = F.col("label").cast("double")
+    for _ in range(rounds):
+        p = 1 / (1 + F.exp(-F.greatest(F.least(F.lit(a) * t + F.lit(b), F.lit(30.0)), F.lit(-30.0))))
+        v = p * (1 - p)
+        r = strengths.agg(F.sum((y - p) * t), F.sum(y - p), F.sum(v * t * t), F.sum(v * t), F.sum(v)).first()
+        gradient = np.array([r[0] - ridge * a, r[1] - ridge * b])
+        hessian = np.array([[r[2] + ridge, r[3]], [r[3], r[4] + ridge]])
+        step = np.linalg.solve(hessian, gradient)
+        a, b = a + step[0], b + step[1]
+        if np.abs(step).max() < 1e-6:
+            break
+    return a
 
 
 def _scorer(model: Ranking, keep: int, text: int):

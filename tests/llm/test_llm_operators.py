@@ -190,6 +190,21 @@ def test_quality_ranks_held_out_texts(spark, docs, none):
     assert quality.score_quality(frame, nothing).filter("score >= 0.3").count() == len(data)
 
 
+def test_quality_learns_from_every_training_row(spark):
+    """More rows of each label than the old bound of 6000: the cut is the strength below which lie exactly the bad rows."""
+    rng = np.random.default_rng(7)
+    data = [(prose(i, int(rng.integers(3, 40))) if i % 2 else " ".join(w.upper() + "#" * int(rng.integers(0, 4)) for w in prose(i, int(rng.integers(3, 40))).split()), i % 2)
+            for i in range(16000)]
+    frame, marks = labels_for(spark, data)
+    model = quality.learn(frame, marks, train_fold(5, 0))
+    train = [(t, y) for i, (t, y) in enumerate(data) if zlib.crc32(str(i).encode()) % 5 != 0]
+    batch = pa.RecordBatch.from_arrays([pa.array([y for _, y in train], pa.int32()), pa.array([t for t, _ in train])], names=["label", "text"])
+    x = np.array([r for b in quality._extract(iter([batch])) for r in b.column(1).to_pylist()], float)
+    strengths = np.sort(model.strengths(x))
+    bad = sum(1 for _, y in train if y == 0)
+    assert model.cut == pytest.approx(strengths[bad - 1], abs=1e-9)
+
+
 def test_toxicity_ranks_held_out_texts(spark, docs, none):
     bad = ["vile", "wretch", "oaf", "vilest"]
     rng = np.random.default_rng(4)
