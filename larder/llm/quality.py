@@ -90,7 +90,7 @@ def _extract(batches):
     reader = Reader(lower=False)
     for batch in batches:
         rows = [r for _, x in _feature_batches(reader, batch.column(1)) for r in x]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["label", "x"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=[batch.schema.names[0], "x"])
 
 
 @dataclass
@@ -128,9 +128,10 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column) -> Ranking:
     spark = docs.sparkSession
     known = labels.select("doc_id", F.col("quality").cast("int").alias("label")).filter(
         F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & train
-    ).select(F.col("doc_id").alias("_id"), "label")
-    joined = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id")).select("label", "text")
-    rows = stored(joined.mapInArrow(_extract, "label int, x array<double>"))
+    ).dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("_id"), "label")
+    # features are taken beside the texts, so that the join moves twenty numbers a row and no text
+    features = docs.select(F.col("doc_id").cast("long"), "text").filter(train).mapInArrow(_extract, "doc_id long, x array<double>")
+    rows = stored(features.join(known, F.col("doc_id") == F.col("_id")).select("label", "x"))
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     good, bad = counts.get(1, 0), counts.get(0, 0)
     edges = np.zeros((FEATURES, BINS - 1))
