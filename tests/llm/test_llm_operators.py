@@ -225,6 +225,39 @@ def test_toxicity_ranks_held_out_texts(spark, docs, none):
     assert toxicity.score_toxicity(frame, nothing).filter("score IS NULL OR isnan(score)").count() == 0
 
 
+def test_toxicity_learns_from_every_training_row(spark):
+    """More rows of each label than the old bound of 6000: the weights are the fit on every held training row."""
+    from types import SimpleNamespace
+
+    from pyspark.sql import functions as F
+
+    from larder.llm.training import logistic
+
+    bad = ["vile", "wretch", "oaf", "vilest"]
+    rng = np.random.default_rng(9)
+    data = []
+    for i in range(17000):
+        words = prose(i, int(rng.integers(5, 30))).split()
+        if i % 2 and rng.random() < 0.9:
+            words[int(rng.integers(len(words)))] = bad[int(rng.integers(4))]
+        data.append((" ".join(words), i % 2))
+    frame, marks = labels_for(spark, data)
+    scorer = toxicity.learn(frame, marks, train_fold(4, 2))
+    part = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("part")), F.lit(toxicity.CALIBRATION_PARTS))
+    held = {r[0] for r in frame.filter(train_fold(4, 2)).filter(part == 0).select("doc_id").collect()}
+    rows = [(data[i][1], data[i][0]) for i in sorted(held)]
+    batch = pa.RecordBatch.from_arrays([pa.array([y for y, _ in rows], pa.int32()), pa.array([t for _, t in rows])], names=["label", "text"])
+    x = np.array([r for b in toxicity._extract(SimpleNamespace(value=scorer.model))(iter([batch])) for r in b.column(1).to_pylist()], float)
+    y = np.array([y for y, _ in rows], float)
+    train = [y for i, (_, y) in enumerate(data) if zlib.crc32(str(i).encode()) % 4 != 2]
+    # of the extra marks only that of id 10**9, label 0, counts, if its id is in the training fold
+    counts = {0: train.count(0) + int(zlib.crc32(str(10**9).encode()) % 4 != 2), 1: train.count(1)}
+    share = np.where(y == 1, counts[1] / (y == 1).sum(), counts[0] / (y == 0).sum())
+    expected = logistic(x, y, share * len(y) / share.sum(), ridge=0.1)
+    assert min(counts.values()) > 6000
+    assert scorer.weights == pytest.approx(expected, rel=1e-6, abs=1e-6)
+
+
 def test_language_model_counts_and_normalises(docs, none):
     learn = (docs["doc_id"] % 2 == 0)
     rows = lm.score_texts(docs, learn).collect()
