@@ -452,3 +452,15 @@ def test_documents_shorter_than_an_item_are_found(spark):
     benchmark = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
     found = {r["doc_id"]: (r["n_words"], r["first_word"], r["similarity"]) for r in contamination.contaminated(frame, benchmark).collect()}
     assert found == {k: (55 - k, 0, (51 - k) / 51) for k in (1, 2, 3, 4, 5)}
+
+
+def test_toxicity_learn_stores_no_copy_of_texts(spark, monkeypatch):
+    """Texts are read where they lie: nothing that learn writes to the shared folder holds a text (F op2 disk)."""
+    written = []
+    real = toxicity.stored
+    monkeypatch.setattr(toxicity, "stored", lambda df: (written.append(df.columns), real(df))[1])
+    data = [(prose(i, 12) + (" vile" if i % 2 else ""), i % 2) for i in range(400)]
+    frame, marks = labels_for(spark, data)
+    scorer = toxicity.learn(frame, marks, train_fold(4, 2))
+    assert written and all("text" not in columns for columns in written)
+    assert held_out_accuracy(toxicity.score_toxicity(frame, scorer), data, 4, 2) > 0.9
