@@ -93,22 +93,33 @@ def product_keys(name: str, keys: DataFrame) -> DataFrame:
     return keys.select(*[F.col(k).alias(p) for k, p in zip(spec.key, spec.product_key, strict=True)])
 
 
+def null_safe_join(rows: DataFrame, keys: DataFrame, columns, how: str) -> DataFrame:
+    """Rows whose ``columns`` equal, null-safe, those of a row of ``keys`` (``left_semi``) or of none (``left_anti``).
+
+    Rows whose columns are all present meet by plain equality, so that rows already placed by these columns are not
+    shuffled again with all their other columns; only rows with a null among them meet by null-safe equality.
+    """
+    columns = list(columns)
+    names = [f"_key_{i}" for i in range(len(columns))]
+    present, found, equal, same = F.lit(True), F.lit(True), F.lit(True), F.lit(True)
+    for k, n in zip(columns, names, strict=True):
+        present, found = present & F.col(k).isNotNull(), found & F.col(n).isNotNull()
+        equal, same = equal & (F.col(k) == F.col(n)), same & F.col(k).eqNullSafe(F.col(n))
+    named = keys.select(*[F.col(k).alias(n) for k, n in zip(columns, names, strict=True)])
+    whole = rows.filter(present).join(named.filter(found).hint("shuffle_hash"), equal, how)
+    return whole.unionByName(rows.filter(~present).join(named.filter(~found), same, how))
+
+
 def rows_of(name: str, tables: Tables, keys: DataFrame, **options) -> DataFrame:
     """The product's rows for these keys, as they are now; the fact is filtered before anything else is done."""
     spec = row_wise(name)
     fact = tables[spec.fact]
-    match = F.lit(True)
-    for k in spec.key:
-        match = match & fact[k].eqNullSafe(keys[k])
-    return derive(name, {**tables, spec.fact: fact.join(keys, match, "left_semi")}, **options)
+    return derive(name, {**tables, spec.fact: null_safe_join(fact, keys, spec.key, "left_semi")}, **options)
 
 
 def refreshed(name: str, product: DataFrame, tables: Tables, changes: Tables, **options) -> DataFrame:
     """The product after the changes, from the product before them."""
     keys = affected_keys(name, tables, changes, product)
     gone = product_keys(name, keys)
-    match = F.lit(True)
-    for k in gone.columns:
-        match = match & product[k].eqNullSafe(gone[k])
-    kept = product.join(gone, match, "left_anti")
+    kept = null_safe_join(product, gone, gone.columns, "left_anti")
     return kept.unionByName(rows_of(name, tables, keys, **options))

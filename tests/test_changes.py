@@ -128,3 +128,25 @@ def test_a_table_stored_as_a_whole_before_is_taken_over(spark, tmp_path):
     jobs.store(target, "fact_sales", one, "delta")
     assert target.has_days("fact_sales") and target.read("fact_sales").count() == 10
     assert target.read("fact_sales").filter("total_order_price = -1").count() == 1
+
+
+def test_null_safe_join_leaves_placed_rows_in_place(spark):
+    """Rows already placed by their key meet the keys without a second shuffle, and null keys still match null-safe."""
+    from larder.plans.changes import null_safe_join
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        data = [(1, "a"), (2, "b"), (None, "c"), (3, "d"), (None, "e")]
+        rows = spark.createDataFrame(data, "order_id long, menu string").repartition("order_id")
+        keys = spark.createDataFrame([(2,), (None,), (5,)], "order_id long")
+        semi = null_safe_join(rows, keys, ["order_id"], "left_semi")
+        anti = null_safe_join(rows, keys, ["order_id"], "left_anti")
+        assert sorted(r.menu for r in semi.collect()) == ["b", "c", "e"]
+        assert sorted(r.menu for r in anti.collect()) == ["a", "d"]
+        plan = semi._jdf.queryExecution().executedPlan().toString()
+        # the rows' own repartition, reused for the null branch, and the keys; no exchange of the rows on their key again
+        assert plan.count("Exchange hashpartitioning(order_id") == 2, plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
