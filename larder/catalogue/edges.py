@@ -86,7 +86,7 @@ def ingest_json(spark, sf):
             **{c: F.col(c).cast("string") for c in ("order_id", "outlet_id", "customer_id", "order_ts")},
         }
     )
-    nested.write.json(folder)
+    nested.write.json(folder, compression="gzip")  # text of lines repeats: compressed, it writes a sixth or less
     seeded = seed_frame(spark, "fact_sales", folder, multiLine=False)
     typed = sales_items({"fact_sales": seeded}).withColumns(
         {

@@ -150,3 +150,12 @@ def test_null_safe_join_leaves_placed_rows_in_place(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_ingest_json_writes_compressed_json(spark, tmp_path, monkeypatch):
+    """The JSON files that ingest_json reads back are gzip-compressed, not plain text."""
+    from larder.catalogue import edges
+
+    monkeypatch.setattr(edges, "scratch", lambda session: str(tmp_path))
+    assert edges.ingest_json(spark, "/root/testdata/sf0.001").count() > 0
+    assert glob.glob(f"{tmp_path}/fact_sales.json/*.json.gz")
